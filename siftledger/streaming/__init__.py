@@ -1,0 +1 @@
+"""Empty on purpose: the feed is a full snapshot and no operator of it is a stream."""
