@@ -178,9 +178,9 @@ _issue_flags = f"""flags as (select not {_ok["price"]} as bad_price, not {_ok["t
 
 def _tax_buckets(base: str, where: str, scale: int, name: str) -> str:
     """Tax over base in steps of five percent; both as whole numbers of 10^-scale."""
-    tax = f"cast(cast(tax as decimal(18, 4)) * {10 ** scale} as hugeint)"
+    tax = f"cast(cast(tax as decimal(38, 8)) * {10 ** scale} as hugeint)"
     return _with(FEED, f"""select cast(5 * ((2 * 20 * t + b) // nullif(2 * b, 0)) as bigint) as {name}, count(*) as n
-  from (select {tax} as t, cast({base} * {10 ** scale} as hugeint) as b from feed
+  from (select {tax} as t, cast(cast({base} as decimal(38, 8)) * {10 ** scale} as hugeint) as b from feed
     where {_ok["tax"]} and {where}) group by 1""")
 
 

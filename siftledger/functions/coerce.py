@@ -16,7 +16,7 @@ from siftledger.schemas import MONEY
 # Accepted text forms.
 DIGITS = r"^[0-9]+\z"
 NUMBER = r"^[0-9]+(\.[0-9]+)?\z"
-FLOAT_TAIL = r"\.0+\z"
+FLOAT_FORM_ID = r"^[0-9]+(\.0+)?\z"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 DAY_FIRST_DATE = r"^\d{2}-\d{2}-\d{4}\z"
 
@@ -38,7 +38,11 @@ def prefixed_id(text: Column, prefix: str) -> Column:
 
 def float_form_id(text: Column) -> Column:
     """``501.0`` and ``501`` are 501; ``501.5`` is not an id."""
-    return whole_number(F.regexp_replace(text, FLOAT_TAIL, ""))
+    return F.when(text.rlike(FLOAT_FORM_ID), _before_point(text).try_cast(T.LongType()))
+
+
+def _before_point(text: Column) -> Column:
+    return F.substring_index(text, ".", 1)
 
 
 def is_number(text: Column) -> Column:
@@ -56,17 +60,19 @@ def rounded_integer(text: Column) -> Column:
     Read from the digits rather than through a decimal, which would round twice
     (2.49999 would first become 2.5000).
     """
-    whole = F.split_part(text, F.lit("."), F.lit(1)).try_cast(T.LongType())
-    tenths = F.substring(F.split_part(text, F.lit("."), F.lit(2)), 1, 1)
-    rounded = F.try_add(whole, F.when(tenths >= "5", 1).otherwise(0))
+    point = F.instr(text, ".")
+    rounds_up = (point > 0) & (F.substring(text, point + 1, 1) >= "5")
+    rounded = F.try_add(_before_point(text).try_cast(T.LongType()), rounds_up.cast("long"))
     return F.when(is_number(text), rounded.try_cast(T.IntegerType()))
 
 
 def two_format_date(text: Column) -> Column:
     """Year-first or day-first; a well-shaped day that does not exist is NULL."""
-    return F.when(text.rlike(ISO_DATE), F.try_to_date(text, "yyyy-MM-dd")).when(
-        text.rlike(DAY_FIRST_DATE), F.try_to_date(text, "dd-MM-yyyy")
+    day, month, year = (F.substring(text, start, size) for start, size in ((1, 2), (4, 2), (7, 4)))
+    year_first = F.when(text.rlike(ISO_DATE), text).when(
+        text.rlike(DAY_FIRST_DATE), F.concat_ws("-", year, month, day)
     )
+    return year_first.try_cast(T.DateType())
 
 
 def trimmed_or_null(text: Column) -> Column:

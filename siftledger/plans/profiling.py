@@ -22,7 +22,6 @@ from siftledger.session import materialise
 
 # Text forms asked about only here, and the bucket width in percent.
 FLOAT_FORM = r"^[0-9]+\.0+\z"
-WHOLE = r"^[0-9]+(\.0+)?\z"
 ZERO = r"^0+(\.0+)?\z"
 PERCENT_STEP = 5
 
@@ -147,7 +146,7 @@ def tax_summary() -> list[Column]:
         F.round(F.max(tax), 2).alias("max"),
         ratio_half_up(F.sum(tax), F.count(tax), 2).alias("avg"),
         _double_rounded(F.stddev_samp(tax), 2).alias("stddev"),
-        F.count_if(F.col("tax").rlike(WHOLE)).alias("whole_numbers"),
+        F.count_if(F.col("tax").rlike(coerce.FLOAT_FORM_ID)).alias("whole_numbers"),
     ]
 
 

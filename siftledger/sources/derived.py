@@ -21,6 +21,19 @@ HELPERS = {
     "line": "l_orderkey * 10 + l_linenumber",
     "shipped": "cast(cast(l_shipdate as date) as string)",
 }
+USED = {
+    "lineitem": (
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_quantity",
+        "l_extendedprice",
+        "l_tax",
+        "l_shipdate",
+    ),
+    "orders": ("o_orderkey", "o_custkey"),
+    "part": ("p_partkey", "p_name"),
+}
 COLUMNS = {
     "transaction_id": """case when line % 97 = 0 then 'X-' || cast(line as string)
         when l_orderkey % 10 = 0 then 'T' || cast(line as string) else cast(line as string) end""",
@@ -47,16 +60,23 @@ COLUMNS = {
 
 def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
     """One raw row per order line of the tables in ``folder``, spoiled, with lineage."""
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
-        "*", F.col("_metadata.file_name").alias("_source_file")
+    lines, orders, parts = (
+        spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
+        for table, columns in USED.items()
     )
-    orders = spark.read.parquet(f"{folder}/orders.parquet")
-    parts = spark.read.parquet(f"{folder}/part.parquet")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
+    joined = (
+        _spread(lines)
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
     return joined.withColumns({n: F.expr(e) for n, e in HELPERS.items()}).select(
         *[F.expr(e).alias(n) for n, e in COLUMNS.items()],
         F.lit(INGESTED_AT).cast("timestamp").alias("_ingested_at"),
-        "_source_file",
+        F.lit(SOURCE_FILE).alias("_source_file"),
     )
+
+
+def _spread(scan: DataFrame) -> DataFrame:
+    """Use all cores when a table is one row group; a larger scan is split already."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
