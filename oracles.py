@@ -309,9 +309,9 @@ def oracle_sql() -> dict[str, str]:
               "case when failures > 0 then 'warn' else 'pass' end")),
         "failing_unique": _with(STAGED, """select transaction_id as unique_field, count(*) as n_records
           from staged where transaction_id is not null group by 1 having count(*) > 1"""),
-        "failing_relationships": _with(STAGED, """select customer_id as from_field, count(*) as n_records
-          from staged where customer_id is not null and customer_id not in (select c_custkey from customer)
-          group by 1"""),
+        "failing_relationships": _with(MARTS, """select transaction_id as from_field, count(*) as n_records
+          from staged where transaction_id is not null
+            and transaction_id not in (select transaction_id from fact) group by 1"""),
         "failing_accepted_values": _with(STAGED, """select is_valid as value_field, count(*) as n_records
           from staged where is_valid not in (true) group by 1"""),
         "failing_range": _with(STAGED, """select transaction_id_raw, quantity_raw, quantity from staged

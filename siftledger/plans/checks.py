@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftledger.schemas import (
+    COMPLETENESS,
     CONTRACTS,
     DIM_CUSTOMER,
     DIM_DATE,
@@ -30,7 +31,6 @@ from siftledger.schemas import (
 
 Relations = Mapping[str, DataFrame]
 
-COMPLETENESS = "dq_completeness"
 REASONS = "dq_quarantine_reasons"
 
 
@@ -75,12 +75,16 @@ class Check:
 
 @dataclass(frozen=True)
 class RowCheck(Check):
-    """Rows for which the SQL condition ``broken`` is true fail."""
+    """Rows for which the SQL condition ``broken`` is true fail.
+
+    ``kept`` names the columns that failing rows are stored with; none means all.
+    """
 
     broken: str = "false"
+    kept: tuple[str, ...] = ("*",)
 
     def failing(self, relations: Relations) -> DataFrame:
-        return relations[self.relation].where(self.broken)
+        return relations[self.relation].where(self.broken).select(*self.kept)
 
 
 @dataclass(frozen=True)
@@ -206,7 +210,7 @@ def declared_checks(quarantine_severity: Severity = Severity(warn_above=0, fail_
         references(fact, "date_key", DIM_DATE.name),
         AcceptedValuesCheck(
             "accepted_values_dq_completeness_reconciles",
-            COMPLETENESS,
+            COMPLETENESS.name,
             column="reconciles",
             values=(True,),
         ),
@@ -215,14 +219,19 @@ def declared_checks(quarantine_severity: Severity = Severity(warn_above=0, fail_
             "not_null_proportion_stg_dq_reasons", STAGED.name, column="dq_reasons", at_least=0.0
         ),
         vocabulary_check(REASON_CODES),
-        RowCheck("partitions_reconcile", COMPLETENESS, broken="NOT reconciles"),
+        RowCheck("partitions_reconcile", COMPLETENESS.name, broken="NOT reconciles"),
         RowCheck(
-            "quarantine_within_threshold", QUARANTINE.name, quarantine_severity, broken="true"
+            "quarantine_within_threshold",
+            QUARANTINE.name,
+            quarantine_severity,
+            broken="true",
+            kept=("transaction_id_raw", "dq_reasons"),
         ),
         RowCheck(
             "total_amount_formula",
             fact,
             broken="total_amount <> quantity * unit_price + tax_amount",
+            kept=("transaction_id", "total_amount", "quantity", "unit_price", "tax_amount"),
         ),
     ]
 
@@ -230,7 +239,12 @@ def declared_checks(quarantine_severity: Severity = Severity(warn_above=0, fail_
 def vocabulary_check(codes: Sequence[str]) -> Check:
     """Reasons outside ``codes`` fail."""
     known = ", ".join(f"'{code}'" for code in codes)
-    return RowCheck("dq_reasons_known", REASONS, broken=f"dq_reason NOT IN ({known})")
+    return RowCheck(
+        "dq_reasons_known",
+        REASONS,
+        broken=f"dq_reason NOT IN ({known})",
+        kept=("transaction_id_raw", "dq_reason"),
+    )
 
 
 def digits_lost_checks(relation: str = STAGED.name) -> list[Check]:

@@ -223,4 +223,80 @@ RUN_AUDIT = Relation(
     ),
 )
 
+COMPLETENESS = Relation(
+    "analytics",
+    "dq_completeness",
+    "How the received rows were divided, and whether they add up.",
+    T.StructType(
+        [
+            field("rows_received", _long, "Rows landed."),
+            field("rows_modelled", _long, "Rows in the fact."),
+            field("rows_quarantined", _long, "Rows rejected."),
+            field("reconciles", _bool, "Modelled and quarantined rows are the received rows."),
+            field("quarantine_pct", T.DecimalType(28, 1), "Rejected share of received rows."),
+        ]
+    ),
+)
+
+_summed = T.DecimalType(38, 4)
+_tax_summed = T.DecimalType(28, 4)
+_average = T.DecimalType(28, 2)
+_measures = [
+    field("total_quantity", _long, "Units sold."),
+    field("total_subtotal", _summed, "Revenue before tax."),
+    field("total_tax", _tax_summed, "Tax."),
+    field("total_amount", _summed, "Revenue with tax."),
+]
+
+MONTHLY_SALES = Relation(
+    "analytics",
+    "agg_monthly_sales",
+    "Sales per calendar month.",
+    T.StructType(
+        [
+            field("month", _date, "First day of the month."),
+            field("num_transactions", _long, "Transactions."),
+            field("num_customers", _long, "Known customers."),
+            field("distinct_products", _long, "Products sold."),
+            *_measures,
+            field("avg_transaction_value", _average, "total_amount per transaction."),
+            field("avg_units_per_transaction", _average, "Units per transaction."),
+        ]
+    ),
+)
+
+SALES_BY_CUSTOMER = Relation(
+    "analytics",
+    "agg_sales_by_customer",
+    "Sales per customer; -1 gathers the unknown ones.",
+    T.StructType(
+        [
+            field("customer_id", _long, "Customer key."),
+            field("is_unknown", _bool, "True for the unknown member."),
+            field("num_transactions", _long, "Transactions."),
+            field("distinct_products", _long, "Products bought."),
+            *_measures,
+            field("avg_transaction_value", _average, "total_amount per transaction."),
+            field("first_transaction_date", _date, "Earliest transaction."),
+            field("last_transaction_date", _date, "Latest transaction."),
+        ]
+    ),
+)
+
+SALES_BY_PRODUCT = Relation(
+    "analytics",
+    "agg_sales_by_product",
+    "Sales per product.",
+    T.StructType(
+        [
+            field("product_id", _long, "Product key."),
+            field("product_name", _string, "Product name."),
+            field("num_transactions", _long, "Transactions."),
+            *_measures,
+            field("avg_unit_price", _average, "Mean unit price over transactions."),
+            field("revenue_share_pct", T.DecimalType(28, 1), "Share of all revenue."),
+        ]
+    ),
+)
+
 CONTRACTS = (DIM_PRODUCT, DIM_CUSTOMER, DIM_DATE, FACT)
