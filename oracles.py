@@ -6,6 +6,7 @@ and averages come from integer division.
 
 from __future__ import annotations
 
+from siftledger.plans.profiling import ONE_SCAN
 from siftledger.schemas import RAW_COLUMNS, REASON_CODES
 from siftledger.sources.derived import (
     COLUMNS,
@@ -199,9 +200,12 @@ def oracle_sql() -> dict[str, str]:
     iso, dmy = (f"regexp_full_match(transaction_date, '{p}')" for p in (_ISO, _DMY))
     known = ", ".join(f"'{c}'" for c in REASON_CODES)
     quarantined = "select count(*) from quarantine"
-    return {
+    answers = {
         "raw_feed": _with(FEED, "select * from feed"),
         "raw_row_count": _with(FEED, "select count(*) as total_rows from feed"),
+        "csv_roundtrip": _with(FEED, "select * exclude (_source_file) from feed"),
+        "csv_reconcile": _with(FEED, """select count(*) as rows_in_files, count(*) as rows_landed,
+          true as reconciles from feed"""),
         "stg_classified": _with(STAGED, """select * exclude (dq_reasons),
           array_to_string(dq_reasons, '|') as dq_reasons from staged"""),
         "int_transactions_valid": _with(MARTS, "select * from valid"),
@@ -379,3 +383,14 @@ def oracle_sql() -> dict[str, str]:
         "profile_tax_percent_of_subtotal": _tax_buckets(
             f"({_quantity} * {_price})", f"{_ok['price']} and {_ok['quantity']}", 8, "pct_of_subtotal_bucket"),
     }
+    return answers | {"profile_overview": _side_by_side(answers)}
+
+
+def _side_by_side(answers: dict[str, str]) -> str:
+    """The one-row profile answers as one row, each column named after its question."""
+    parts = [answers[f"profile_{question}"] for question in ONE_SCAN]
+    columns = ", ".join(
+        f"columns({question}.*) as \"{question}_\\0\"" for question in ONE_SCAN
+    )
+    rows = ", ".join(f"({sql}) as {question}" for question, sql in zip(ONE_SCAN, parts, strict=True))
+    return f"select {columns} from {rows}"

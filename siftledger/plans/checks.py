@@ -41,13 +41,14 @@ class Severity:
     warn_above: int | None = None
     fail_from: int | None = 1
 
-    def status(self, failures: Column) -> Column:
-        verdict = F.lit("pass")
-        if self.warn_above is not None:
-            verdict = F.when(failures > self.warn_above, "warn").otherwise(verdict)
+    def status(self) -> str:
+        """SQL for the status that follows from the column ``failures``."""
+        cases = ""
         if self.fail_from is not None:
-            verdict = F.when(failures >= self.fail_from, "fail").otherwise(verdict)
-        return verdict
+            cases += f" WHEN failures >= {self.fail_from} THEN 'fail'"
+        if self.warn_above is not None:
+            cases += f" WHEN failures > {self.warn_above} THEN 'warn'"
+        return f"CASE{cases} ELSE 'pass' END" if cases else "'pass'"
 
     @property
     def label(self) -> str:
@@ -70,7 +71,7 @@ class Check:
 
     def failures(self, relations: Relations) -> DataFrame:
         """One row, one column ``failures``."""
-        return self.failing(relations).agg(F.count("*").alias("failures"))
+        return self.failing(relations).selectExpr("count(*) AS failures")
 
 
 @dataclass(frozen=True)
@@ -127,8 +128,7 @@ class ReferenceCheck(Check):
         return used.join(known, "from_field", "left_anti")
 
     def failures(self, relations: Relations) -> DataFrame:
-        rows = F.coalesce(F.sum("n_records"), F.lit(0))
-        return self.failing(relations).agg(rows.alias("failures"))
+        return self.failing(relations).selectExpr("coalesce(sum(n_records), 0) AS failures")
 
 
 @dataclass(frozen=True)
@@ -298,36 +298,24 @@ def results(relations: Relations, checks: Sequence[Check]) -> DataFrame:
     for check in checks:
         if isinstance(check, RowCheck):
             by_relation.setdefault(check.relation, []).append(check)
-    counted = [_row_results(relations[name], group) for name, group in by_relation.items()]
+    counted = [_count_rows(relations[name], group) for name, group in by_relation.items()]
     counted += [
-        _result(check, check.failures(relations)) for check in checks if not isinstance(check, RowCheck)
+        check.failures(relations).selectExpr(f"'{check.name}' AS check", "failures")
+        for check in checks
+        if not isinstance(check, RowCheck)
     ]
-    return reduce(DataFrame.unionByName, counted)
-
-
-def _row_results(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    counts = df.agg(*[F.count_if(F.expr(c.broken)).alias(c.name) for c in checks])
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(c.name).alias("check"),
-                F.lit(c.severity.label).alias("severity"),
-                F.col(c.name).alias("failures"),
-                c.severity.status(F.col(c.name)).alias("status"),
-            )
-            for c in checks
-        ]
+    status = " ".join(f"WHEN '{c.name}' THEN {c.severity.status()}" for c in checks)
+    label = " ".join(f"WHEN '{c.name}' THEN '{c.severity.label}'" for c in checks)
+    return reduce(DataFrame.union, counted).selectExpr(
+        "check", f"CASE check {label} END AS severity", "failures", f"CASE check {status} END AS status"
     )
-    return counts.select(F.explode(lines).alias("line")).select("line.*")
 
 
-def _result(check: Check, failures: DataFrame) -> DataFrame:
-    return failures.select(
-        F.lit(check.name).alias("check"),
-        F.lit(check.severity.label).alias("severity"),
-        F.col("failures").cast("long").alias("failures"),
-        check.severity.status(F.col("failures")).alias("status"),
-    )
+def _count_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """``check`` and ``failures`` of tests on single rows, in one scan."""
+    counts = df.selectExpr(*[f"count_if({c.broken}) AS `{c.name}`" for c in checks])
+    lines = ", ".join(f"'{c.name}', `{c.name}`" for c in checks)
+    return counts.selectExpr(f"stack({len(checks)}, {lines}) AS (check, failures)")
 
 
 def freshness(

@@ -9,7 +9,9 @@ a view is one catalog operation. Older versions stay until they are removed.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -70,14 +72,15 @@ class Warehouse:
 
     def create_namespaces(self) -> None:
         for name in NAMESPACES:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{self.root}/{name}'")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_text(f'{self.root}/{name}')}")
 
     def publish(self, relations: Sequence[Relation], logs: Sequence[Relation] = ()) -> None:
         """Point the view of each relation at this run, with its documentation."""
-        for relation in relations:
-            self._view(relation, self.path(relation.namespace, relation.name))
-        for relation in logs:
-            self._view(relation, self.log_path(relation.namespace, relation.name))
+        views = [(r, self.path(r.namespace, r.name)) for r in relations]
+        views += [(r, self.log_path(r.namespace, r.name)) for r in logs]
+        with ThreadPoolExecutor(len(views)) as pool:
+            task = inheritable_thread_target(self.spark)(self._view)
+            list(pool.map(task, *zip(*views, strict=True)))
 
     def _view(self, relation: Relation, location: str) -> None:
         names = ", ".join(
