@@ -79,4 +79,6 @@ def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
 def _spread(scan: DataFrame) -> DataFrame:
     """Use all cores when a table is one row group; a larger scan is split already."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, "l_partkey", "l_orderkey")
