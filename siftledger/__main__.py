@@ -1,4 +1,4 @@
-"""Command line: ``python -m siftledger SOURCE ROOT`` runs the warehouse once."""
+"""Command line: run the warehouse, profile what was landed, or test its age."""
 
 from __future__ import annotations
 
@@ -9,34 +9,48 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from siftledger.plans import marts, quality
+from siftledger.plans import checks, marts, profiling, quality
 from siftledger.plans.checks import Severity
-from siftledger.plans.run import Options, run
+from siftledger.plans.run import Options, attach, run
 from siftledger.session import configured
 
 
 def parser() -> argparse.ArgumentParser:
-    args = argparse.ArgumentParser(prog="siftledger", description=__doc__)
-    args.add_argument("source", help="delimited file, or folder of files, to land")
-    args.add_argument("root", help="warehouse folder")
-    args.add_argument("--run-id", default=None, help="repeat with the same id to retry a run")
-    args.add_argument("--spine-start", default=marts.SPINE_START)
-    args.add_argument("--spine-end", default=marts.SPINE_END, help="first day after the calendar")
-    args.add_argument(
+    top = argparse.ArgumentParser(prog="siftledger", description=__doc__)
+    commands = top.add_subparsers(dest="command", required=True)
+
+    runs = commands.add_parser("run", help="land a source and build every relation")
+    runs.add_argument("source", help="delimited file, or folder of files")
+    runs.add_argument("root", help="warehouse folder")
+    runs.add_argument("--run-id", default=None, help="repeat with the same id to retry a run")
+    runs.add_argument("--spine-start", default=marts.SPINE_START)
+    runs.add_argument("--spine-end", default=marts.SPINE_END, help="first day after the calendar")
+    runs.add_argument(
         "--quarantine-alert-pct", type=float, default=quality.DEFAULT_QUARANTINE_ALERT_PCT
     )
-    args.add_argument(
+    runs.add_argument(
         "--quarantine-fail-from", type=int, default=50, help="quarantined rows that fail the run"
     )
-    args.add_argument("--multi-line", action="store_true", help="quoted fields hold line breaks")
-    args.add_argument("--keep-going", action="store_true", help="failed tests do not fail the run")
-    return args
+    runs.add_argument("--multi-line", action="store_true", help="quoted fields hold line breaks")
+    runs.add_argument("--keep-going", action="store_true", help="failed tests do not fail the run")
+
+    asks = commands.add_parser("profile", help="answer the profiling questions on the landed rows")
+    asks.add_argument("root", help="warehouse folder")
+    asks.add_argument("--rows", type=int, default=20, help="answer rows to print")
+
+    ages = commands.add_parser("freshness", help="test the age of the newest landed rows")
+    ages.add_argument("root", help="warehouse folder")
+    return top
 
 
 def main(argv: list[str] | None = None) -> None:
     given = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = configured(SparkSession.builder.appName("siftledger")).getOrCreate()
+    {"run": _run, "profile": _profile, "freshness": _freshness}[given.command](spark, given)
+
+
+def _run(spark: SparkSession, given: argparse.Namespace) -> None:
     result = run(
         spark,
         given.source,
@@ -54,5 +68,21 @@ def main(argv: list[str] | None = None) -> None:
     result.summary.show(truncate=False)
 
 
+def _profile(spark: SparkSession, given: argparse.Namespace) -> None:
+    attach(spark, given.root)
+    for question, answer in profiling.profile(spark.table("raw.customer_transactions")).items():
+        print(f"=== {question}")
+        answer.show(given.rows, truncate=False)
+
+
+def _freshness(spark: SparkSession, given: argparse.Namespace) -> None:
+    attach(spark, given.root)
+    raw = spark.table("raw.customer_transactions")
+    result = checks.freshness(raw, datetime.now(timezone.utc))
+    result.show(truncate=False)
+    if result.first()["status"] == "fail":
+        raise SystemExit(1)
+
+
 if __name__ == "__main__":
     main()

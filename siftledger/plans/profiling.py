@@ -51,6 +51,16 @@ def _double_rounded(value: Column, digits: int) -> Column:
     return F.round(value.cast(T.DecimalType(38, 12)), digits).cast(T.DecimalType(28, digits))
 
 
+def _correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation of the rows with both values; NULL when one never varies.
+
+    Built from its parts because ``corr`` itself divides by zero in that case.
+    """
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+
+
 # One answer row, no distinct counts: name -> aggregates.
 
 
@@ -153,8 +163,8 @@ def tax_summary() -> list[Column]:
 def tax_correlation() -> list[Column]:
     tax, price, quantity = (_number(c).cast("double") for c in ("tax", "price", "quantity"))
     return [
-        _double_rounded(F.corr(tax, price), 3).alias("corr_tax_price"),
-        _double_rounded(F.corr(tax, quantity * price), 3).alias("corr_tax_subtotal"),
+        _double_rounded(_correlation(tax, price), 3).alias("corr_tax_price"),
+        _double_rounded(_correlation(tax, quantity * price), 3).alias("corr_tax_subtotal"),
     ]
 
 

@@ -12,7 +12,7 @@ import logging
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -74,7 +74,7 @@ class Options:
 
 @dataclass(frozen=True)
 class RunReport:
-    run_id: str
+    warehouse: Warehouse
     relations: Mapping[str, DataFrame]
     checks: list[Row]
     alerts: list[Row]
@@ -95,7 +95,7 @@ def run(
 ) -> RunReport:
     """Build every relation from the delimited files at ``source`` under ``root``.
 
-    Repeating a run with the same ``run_id`` replaces its tables and adds no history.
+    Repeating a run with the same ``run_id`` publishes fresh tables and adds no history.
     """
     warehouse = Warehouse(spark, root, run_id)
     raw = land(warehouse, source, run_ts, options.multi_line)
@@ -103,14 +103,13 @@ def run(
     enforce_contracts(relations)
     relations |= summarise(warehouse, relations, run_id, run_ts)
 
-    warehouse.create_namespaces()
-    warehouse.publish(PUBLISHED, LOGS)
-    warehouse.publish_queries(VIEWS)
+    warehouse.publish(PUBLISHED, LOGS, VIEWS)
+    warehouse.record(datetime.now(timezone.utc))
 
     outcome = test(warehouse, relations, checks.declared_checks(options.quarantine_severity))
     raised = report(warehouse, relations, options.quarantine_alert_pct)
     summary = quality.run_summary(relations[schemas.COMPLETENESS.name], relations[checks.REASONS])
-    result = RunReport(run_id, relations, outcome, raised, summary)
+    result = RunReport(warehouse, relations, outcome, raised, summary)
     if options.strict and result.failed:
         raise ChecksFailed(f"run {run_id}: {', '.join(result.failed)}")
     return result
@@ -246,17 +245,8 @@ def _together(
         return dict(pool.map(task, builders.items()))
 
 
-def attach(spark: SparkSession, root: str, run_id: str | None = None) -> str:
-    """Point the views at a stored run, by default the one recorded last; return its id."""
-    if run_id is None:
-        history = Warehouse(spark, root, "").log(
-            schemas.RUN_AUDIT.namespace, schemas.RUN_AUDIT.name, schemas.RUN_AUDIT.schema
-        )
-        if history is None:
-            raise FileNotFoundError(f"no recorded run under {root}")
-        run_id = history.orderBy("run_started_at", ascending=False).first()["invocation_id"]
-    warehouse = Warehouse(spark, root, run_id)
-    warehouse.create_namespaces()
-    warehouse.publish(PUBLISHED, LOGS)
-    warehouse.publish_queries(VIEWS)
-    return run_id
+def attach(spark: SparkSession, root: str, run_id: str | None = None) -> Warehouse:
+    """Point the views of this session's catalog at what was published under ``root`` last."""
+    warehouse = Warehouse.published(spark, root, run_id)
+    warehouse.publish(PUBLISHED, LOGS, VIEWS)
+    return warehouse

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Staged rows are written into two folders, by verdict. Two open writers per task do
+    # that without sorting every task's rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Plans are built from many small column calls; recording the Python line of each
     # takes longer than planning.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

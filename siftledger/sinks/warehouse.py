@@ -1,44 +1,63 @@
 """Versioned tables under one root folder, published as catalog views.
 
-Each run writes ``<root>/<namespace>/<table>/run=<run id>``. Nothing a reader can see
-changes until :meth:`Warehouse.publish` points the views at the new versions, so a
-failed run leaves the previous one in place. Parquet has no atomic overwrite; swapping
-a view is one catalog operation. Older versions stay until they are removed.
+Each attempt at a run writes ``<root>/<namespace>/<table>/run=<run id>/attempt=<id>``,
+never over files that exist. Nothing a reader can see changes until
+:meth:`Warehouse.publish` points the views at the new versions, so a failed or repeated
+run leaves readers undisturbed. Parquet has no atomic overwrite; swapping a view is one
+catalog operation. Older versions stay until they are removed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftledger.plans.quality import not_yet_recorded
 from siftledger.schemas import NAMESPACES, Relation
 
 
+PUBLISHED_SCHEMA = "run_id string, version string, published_at timestamp"
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, run_id: str):
+    def __init__(self, spark: SparkSession, root: str, run_id: str, version: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.run_id = run_id
+        self.version = version or f"run={run_id}/attempt={uuid.uuid4().hex}"
+
+    @classmethod
+    def published(cls, spark: SparkSession, root: str, run_id: str | None = None) -> Warehouse:
+        """The warehouse as of the version published last, or last for ``run_id``."""
+        log = cls(spark, root, "", "")._log("", "published", PUBLISHED_SCHEMA)
+        if log is not None:
+            found = log if run_id is None else log.where(F.col("run_id") == run_id)
+            last = found.orderBy(F.desc("published_at")).first()
+            if last is not None:
+                return cls(spark, root, last["run_id"], last["version"])
+        raise FileNotFoundError(f"nothing published under {root}" + (f" for {run_id}" if run_id else ""))
 
     # Tables of one run
 
     def path(self, namespace: str, table: str) -> str:
-        return f"{self.root}/{namespace}/{table}/run={self.run_id}"
+        return f"{self.root}/{namespace}/{table}/{self.version}"
 
     def write(
         self, df: DataFrame, namespace: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Replace this run's version of a table and return it as stored.
+        """Write this version of a table and return it as stored.
 
         Rows are not sorted: order in a table is no guarantee, readers sort.
         """
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(namespace, table))
+        df.write.partitionBy(*partition_by).parquet(self.path(namespace, table))
         return self.read(namespace, table, df.schema)
 
     def read(self, namespace: str, table: str, schema: T.StructType) -> DataFrame:
@@ -48,19 +67,19 @@ class Warehouse:
     # Tables that grow from run to run
 
     def log_path(self, namespace: str, table: str) -> str:
-        return f"{self.root}/{namespace}/{table}"
+        return "/".join(part for part in (self.root, namespace, table) if part)
 
     def append_once(self, df: DataFrame, namespace: str, table: str, key: str) -> DataFrame:
         """Append the rows whose ``key`` is not stored yet; return the whole log.
 
         Repeating a run therefore adds nothing. Runs must not append concurrently.
         """
-        logged = self.log(namespace, table, df.schema)
+        logged = self._log(namespace, table, df.schema)
         fresh = df if logged is None else not_yet_recorded(df, logged, key)
         fresh.coalesce(1).write.mode("append").parquet(self.log_path(namespace, table))
-        return self.log(namespace, table, df.schema)
+        return self._log(namespace, table, df.schema)
 
-    def log(self, namespace: str, table: str, schema: T.StructType) -> DataFrame | None:
+    def _log(self, namespace: str, table: str, schema: T.StructType | str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(self.log_path(namespace, table))
         except AnalysisException as error:
@@ -70,17 +89,32 @@ class Warehouse:
 
     # Catalog
 
-    def create_namespaces(self) -> None:
-        for name in NAMESPACES:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {_text(f'{self.root}/{name}')}")
+    def publish(
+        self,
+        relations: Sequence[Relation],
+        logs: Sequence[Relation],
+        queries: Mapping[str, str],
+    ) -> None:
+        """Point the view of each relation at this version, with its documentation.
 
-    def publish(self, relations: Sequence[Relation], logs: Sequence[Relation] = ()) -> None:
-        """Point the view of each relation at this run, with its documentation."""
+        ``queries`` are views defined by SQL over published relations.
+        """
+        for name in NAMESPACES:
+            location = _text(f"{self.root}/{name}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {location}")
         views = [(r, self.path(r.namespace, r.name)) for r in relations]
         views += [(r, self.log_path(r.namespace, r.name)) for r in logs]
         with ThreadPoolExecutor(len(views)) as pool:
             task = inheritable_thread_target(self.spark)(self._view)
             list(pool.map(task, *zip(*views, strict=True)))
+        for name, query in queries.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+    def record(self, published_at: datetime) -> None:
+        """Note this version as the published one, for sessions with another catalog."""
+        row = [(self.run_id, self.version, published_at)]
+        entry = self.spark.createDataFrame(row, PUBLISHED_SCHEMA).coalesce(1)
+        entry.write.mode("append").parquet(self.log_path("", "published"))
 
     def _view(self, relation: Relation, location: str) -> None:
         names = ", ".join(
@@ -93,11 +127,6 @@ class Warehouse:
             f"COMMENT {_text(relation.comment)} AS SELECT {values} FROM parquet.`{location}`"
         )
 
-    def publish_queries(self, views: Mapping[str, str]) -> None:
-        """Create views that are defined by a query over published relations."""
-        for name, query in views.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
-
 
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

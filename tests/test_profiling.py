@@ -156,3 +156,10 @@ def test_correlation_of_a_rate(feed):
     raw = feed(*[{"tax": str(n), "price": str(10 * n), "quantity": "2"} for n in range(1, 9)])
     found = profiling.ask(raw, "tax_correlation").first()
     assert tuple(found) == (Decimal("1.000"), Decimal("1.000"))
+
+
+def test_correlation_of_a_constant_is_null(feed):
+    raw = feed(*[{"tax": "1", "price": str(n), "quantity": "2"} for n in range(1, 9)])
+    assert tuple(profiling.ask(raw, "tax_correlation").first()) == (None, None)
+    assert tuple(profiling.ask(raw.where("false"), "tax_correlation").first()) == (None, None)
+    assert profiling.ask(raw.limit(1), "tax_summary").first().stddev is None

@@ -81,19 +81,19 @@ def test_documentation_is_stored(spark, warehouse):
 
 
 def test_staged_rows_are_divided_by_verdict(warehouse):
-    root, _ = warehouse
-    folder = Path(root, "staging", "stg_customer_transactions", "run=first")
+    _, result = warehouse
+    folder = Path(result.warehouse.path("staging", "stg_customer_transactions"))
     assert {p.name for p in folder.iterdir() if p.is_dir()} == {"is_valid=true", "is_valid=false"}
 
 
 def test_test_results_and_failing_rows_are_stored(spark, warehouse):
     root, result = warehouse
     assert len(result.checks) == 27
-    stored = spark.read.parquet(f"{root}/dq_audit/check_results/run=first")
+    stored = spark.read.parquet(result.warehouse.path("dq_audit", "check_results"))
     assert {r.check: r.status for r in stored.collect()} == {r.check: r.status for r in result.checks}
     warned = [r.check for r in result.checks if r.status == "warn"]
     assert warned == ["quarantine_within_threshold"]
-    failing = spark.read.parquet(f"{root}/dq_audit/quarantine_within_threshold/run=first")
+    failing = spark.read.parquet(result.warehouse.path("dq_audit", "quarantine_within_threshold"))
     assert failing.count() == 13 and failing.columns == ["transaction_id_raw", "dq_reasons"]
     assert not Path(root, "dq_audit", "total_amount_formula").exists()
 
@@ -114,7 +114,8 @@ def test_runs_repeat_without_a_trace(spark, edge_path, tmp_path, caplog):
         return [sorted(map(str, result.relations[name].collect())) for name in compared]
 
     with caplog.at_level("WARNING"):
-        first = rows(run(spark, edge_path, root, "a", RUN_TS))
+        original = run(spark, edge_path, root, "a", RUN_TS)
+    first = rows(original)
     assert any("ALERT" in r.message and "dq_quarantine_high" in r.message for r in caplog.records)
     again = run(spark, edge_path, root, "a", RUN_TS)
     assert again.relations["dq_run_audit"].count() == 1
@@ -122,8 +123,11 @@ def test_runs_repeat_without_a_trace(spark, edge_path, tmp_path, caplog):
     other = run(spark, edge_path, root, "b", RUN_TS)
     assert {r.invocation_id for r in other.relations["dq_run_audit"].collect()} == {"a", "b"}
     assert first == rows(again) == rows(other)
-    assert attach(spark, root, "a") == "a"
-    assert attach(spark, root) in {"a", "b"}
+    assert rows(original) == first  # a repeated run leaves earlier readers their files
+    assert attach(spark, root, "a").version == again.warehouse.version
+    assert attach(spark, root).version == other.warehouse.version
+    with pytest.raises(FileNotFoundError):
+        attach(spark, root, "c")
 
 
 def write_feed(path, *lines):
@@ -171,7 +175,7 @@ def test_failed_tests_fail_the_run_after_everything_is_recorded(spark, tmp_path)
     failed = "quarantine_within_threshold, relationships_fct_transactions_date_key"
     with pytest.raises(ChecksFailed, match=failed):
         run(spark, source, root, "r", RUN_TS, options)
-    orphans = spark.read.parquet(f"{root}/dq_audit/relationships_fct_transactions_date_key/run=r")
+    orphans = spark.read.parquet(f"{root}/dq_audit/relationships_fct_transactions_date_key/run=r/*")
     assert [tuple(r) for r in orphans.collect()] == [(20191231, 1)]
     assert spark.table("analytics.dq_run_audit").count() == 1
 
@@ -187,10 +191,15 @@ def test_bad_sources_stop_before_anything_is_written(spark, tmp_path):
 
 def test_command_line(spark, tmp_path, capsys):
     source = write_feed(tmp_path / "a.csv", *CLEAN)
-    command.main([source, str(tmp_path / "w"), "--run-id", "cli", "--spine-end", "2025-01-01"])
+    root = str(tmp_path / "w")
+    command.main(["run", source, root, "--run-id", "cli", "--spine-end", "2025-01-01"])
     assert "rows_received" in capsys.readouterr().out
     assert spark.table("analytics.dim_date").count() == 1827
     assert [r.invocation_id for r in spark.table("analytics.dq_run_audit").collect()] == ["cli"]
+    command.main(["freshness", root])
+    assert "pass" in capsys.readouterr().out
+    command.main(["profile", root])
+    assert "=== tax_percent_of_subtotal" in capsys.readouterr().out
 
 
 def test_declared_tests_cover_the_contracts(warehouse):
