@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from siftledger import schemas
 from siftledger.plans import aggregates, checks, marts, quality, staging
 from siftledger.plans.checks import Check, Severity
+from siftledger.session import shuffles_sized_for
 from siftledger.sinks.warehouse import Warehouse
 from siftledger.sources import delimited
 
@@ -99,9 +100,19 @@ def run(
     """
     warehouse = Warehouse(spark, root, run_id)
     raw = land(warehouse, source, run_ts, options.multi_line)
+    with shuffles_sized_for(raw):
+        result = _build_and_report(warehouse, raw, run_ts, options)
+    if options.strict and result.failed:
+        raise ChecksFailed(f"run {run_id}: {', '.join(result.failed)}")
+    return result
+
+
+def _build_and_report(
+    warehouse: Warehouse, raw: DataFrame, run_ts: datetime, options: Options
+) -> RunReport:
     relations = build(warehouse, raw, run_ts, options.spine)
     enforce_contracts(relations)
-    relations |= summarise(warehouse, relations, run_id, run_ts)
+    relations |= summarise(warehouse, relations, run_ts)
 
     warehouse.publish(PUBLISHED, LOGS, VIEWS)
     warehouse.record(datetime.now(timezone.utc))
@@ -109,10 +120,7 @@ def run(
     outcome = test(warehouse, relations, checks.declared_checks(options.quarantine_severity))
     raised = report(warehouse, relations, options.quarantine_alert_pct)
     summary = quality.run_summary(relations[schemas.COMPLETENESS.name], relations[checks.REASONS])
-    result = RunReport(warehouse, relations, outcome, raised, summary)
-    if options.strict and result.failed:
-        raise ChecksFailed(f"run {run_id}: {', '.join(result.failed)}")
-    return result
+    return RunReport(warehouse, relations, outcome, raised, summary)
 
 
 def land(warehouse: Warehouse, source: str, run_ts: datetime, multi_line: bool) -> DataFrame:
@@ -171,7 +179,7 @@ def enforce_contracts(relations: Mapping[str, DataFrame]) -> None:
 
 
 def summarise(
-    warehouse: Warehouse, relations: Mapping[str, DataFrame], run_id: str, run_ts: datetime
+    warehouse: Warehouse, relations: Mapping[str, DataFrame], run_ts: datetime
 ) -> dict[str, DataFrame]:
     """Sales summaries, completeness and the history row."""
     fact = relations[schemas.FACT.name]
@@ -188,7 +196,7 @@ def summarise(
         },
     )
     audit = quality.run_audit(
-        summaries[schemas.COMPLETENESS.name], relations[checks.REASONS], run_id, run_ts
+        summaries[schemas.COMPLETENESS.name], relations[checks.REASONS], warehouse.run_id, run_ts
     )
     summaries[schemas.RUN_AUDIT.name] = warehouse.append_once(
         audit, schemas.RUN_AUDIT.namespace, schemas.RUN_AUDIT.name, "invocation_id"

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Every timestamp is an instant shown in UTC. Shuffles start wide and adaptive
-# execution merges small partitions, so one setting serves a laptop and a cluster;
-# the local-map threshold lets a sort-merge join become a hash join at run time
-# once the measured build partitions are known to fit.
+# Every timestamp is an instant shown in UTC. The local-map threshold lets a sort-merge
+# join become a hash join at run time, once its measured build partitions fit.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -34,6 +34,26 @@ def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+# Key shuffles carry a fraction of the bytes of the rows they come from.
+SPLITS_PER_SHUFFLE_PARTITION = 4
+
+
+@contextmanager
+def shuffles_sized_for(scan: DataFrame) -> Iterator[None]:
+    """Within the block, shuffles get at least a partition per four splits of ``scan``.
+
+    A fixed number of partitions outgrows executor memory as the feed grows. Adaptive
+    execution merges the partitions that turn out small, so too many do no harm.
+    """
+    key, conf = "spark.sql.shuffle.partitions", scan.sparkSession.conf
+    before = int(conf.get(key))
+    conf.set(key, max(before, scan.rdd.getNumPartitions() // SPLITS_PER_SHUFFLE_PARTITION))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from siftledger.session import SETTINGS, materialise, scratch_dir
+from siftledger.session import SETTINGS, materialise, scratch_dir, shuffles_sized_for
 
 
 def fake_session(master, named=None):
@@ -37,3 +37,14 @@ def test_materialised_rows_keep_pushdown(spark):
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,7)]" in plan
     assert stored.where("id > 7").count() == 2
     assert SETTINGS["spark.sql.session.timeZone"] == "UTC"
+
+
+def test_shuffles_grow_with_the_scan(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffles_sized_for(spark.range(0, 1000, 1, numPartitions=80)):
+        assert spark.conf.get(key) == "20"
+    with pytest.raises(ZeroDivisionError), shuffles_sized_for(spark.range(10)):
+        assert spark.conf.get(key) == before  # never fewer than configured
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
