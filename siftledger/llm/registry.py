@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from siftledger.llm import chat, sharding, token_counts
+from siftledger.llm import chat, packing, sharding, templates, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_histogram_sort": sharding.query,
+        "op6_bin_completion": packing.query,
         "op7_token_counts": token_counts.query,
         "op9_chat_format": chat.query,
+        "op10_template_decontamination": templates.query,
     }
 
 

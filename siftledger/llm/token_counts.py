@@ -9,6 +9,7 @@ text in place and keeps hot keys out of the join; all others are joined in a shu
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,28 +36,43 @@ _PIECE = regex.compile(r"\s*\S+|\s+")
 
 
 def tokenizer_at(name: str) -> Tokenizer:
-    """The public vocabulary's tokenizer, whole texts in, no padding."""
+    """The public vocabulary's tokenizer, whole texts in, no padding, one thread."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     found = Tokenizer.from_file(public_tokenizers.path(name))
     found.no_truncation()
     found.no_padding()
     return found
 
 
+def has_double(text: str) -> bool:
+    return _DOUBLE.search(text) is not None
+
+
 def pre_tokens(text: str) -> list[str]:
     """The pre-tokens of a text, in order; joined they are the text.
 
-    With single spaces only, a plain split finds them (a line break then stays inside a
-    pre-token); other texts need the pattern.
+    With single spaces and line breaks only, a plain split finds them; other texts need
+    the pattern.
     """
     if not text:
         return []
-    if _DOUBLE.search(text):
+    if has_double(text):
         return _PIECE.findall(text)
-    first, *rest = text.split(" ")
-    found = [" " + part for part in rest]
+    first, *rest = spaced(text)
+    found = [led(part) for part in rest]
     return [first, *found] if first else found
 
 
+def spaced(text: str) -> list[str]:
+    """A text without double white space, cut at its spaces and before its line breaks."""
+    return text.replace("\n", " \n").split(" ")
+
+
+def led(part: str) -> str:
+    """The pre-token of a later part: the space it was cut at, unless it is a line."""
+    return part if part[:1] == "\n" else " " + part
+
+
 def _distinct(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[str] = Counter()
     for part in parts:
@@ -100,6 +116,25 @@ def with_pieces(vocabulary: DataFrame, name: str = VOCABULARY) -> DataFrame:
     )
 
 
+def _frequent(vocabulary: DataFrame, most: int) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens, ``most`` at the very most.
+
+    How many pre-tokens are how frequent is counted first, in steps of an eighth of a
+    power of two, so that no task sends more than the answer to the driver.
+    """
+    step = F.floor(8 * F.log2("n")).alias("step")
+    held, least = 0, None
+    for row in vocabulary.groupBy(step).count().orderBy(F.desc("step")).collect():
+        held += row["count"]
+        if held > most:
+            break
+        least = row["step"]
+    if least is None:
+        return {}
+    top = vocabulary.where(step >= least).select("pre_token", "pieces")
+    return {r["pre_token"]: r["pieces"] for r in top.collect()}
+
+
 _PARTS = "key string, row string, doc_id long, n_bytes long, times long, pieces long"
 
 
@@ -157,9 +192,7 @@ def token_counts(
     """
     spark = docs.sparkSession
     vocabulary = materialise(with_pieces(pre_token_counts(docs, text), name), "pre-tokens")
-    top = vocabulary.orderBy(F.desc("n"), "pre_token").limit(frequent)
-    known = {r["pre_token"]: r["pieces"] for r in top.select("pre_token", "pieces").collect()}
-    shared = spark.sparkContext.broadcast(known)
+    shared = spark.sparkContext.broadcast(_frequent(vocabulary, frequent))
     parts = docs.select(F.col(doc_id).cast("long"), text).mapInArrow(
         _split("doc_id", "text", shared), _PARTS
     )
