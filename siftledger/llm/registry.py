@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from siftledger.llm import chat, packing, sharding, templates, token_counts
+from siftledger.llm import chat, hnsw, line_runs, mil, packing, sharding, templates, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_histogram_sort": sharding.query,
+        "op4_line_runs": line_runs.query,
+        "op5_attention_mil": mil.query,
         "op6_bin_completion": packing.query,
         "op7_token_counts": token_counts.query,
+        "op8_hnsw": hnsw.query,
         "op9_chat_format": chat.query,
         "op10_template_decontamination": templates.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat_format": chat.SQL}
+    return {"op4_line_runs": line_runs.SQL, "op9_chat_format": chat.SQL}
