@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from siftledger.llm import chat, hnsw, line_runs, mil, packing, sharding, templates, token_counts
+from siftledger.llm import (
+    chat,
+    hnsw,
+    line_runs,
+    lsh_forest,
+    mil,
+    packing,
+    sharding,
+    templates,
+    token_counts,
+)
 
 
 def queries() -> dict:
     return {
         "op1_histogram_sort": sharding.query,
+        "op3_lsh_forest": lsh_forest.query,
         "op4_line_runs": line_runs.query,
         "op5_attention_mil": mil.query,
         "op6_bin_completion": packing.query,
