@@ -5,6 +5,7 @@ from __future__ import annotations
 from siftledger.llm import (
     chat,
     hnsw,
+    hpylm,
     line_runs,
     lsh_forest,
     mil,
@@ -18,6 +19,7 @@ from siftledger.llm import (
 def queries() -> dict:
     return {
         "op1_histogram_sort": sharding.query,
+        "op2_hpylm": hpylm.query,
         "op3_lsh_forest": lsh_forest.query,
         "op4_line_runs": line_runs.query,
         "op5_attention_mil": mil.query,
