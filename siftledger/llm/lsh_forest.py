@@ -88,7 +88,7 @@ def _key(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-_SIGNED = "doc_id long, n_shingles long, key binary, signature binary"
+_SIGNED = "doc_id long, text_hash long, n_shingles long, key binary, signature binary"
 
 
 def _sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,11 +102,12 @@ def _sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
+                part.column(2),
                 pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.binary()),
                 pa.array(signatures, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "key", "signature"],
+            names=["doc_id", "text_hash", "n_shingles", "key", "signature"],
         )
 
 
@@ -287,16 +288,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
-
-    component_id is the smallest doc_id that links lead to, its own included; NULL ids are
-    passed over, and a component of NULL ids has none. ``kept`` is doc_id = component_id,
-    false for NULL; rows that repeat a kept doc_id are all kept. A NULL or empty text, or
-    one without words, has no shingles and no links. Equal shingle sets are linked. Other
-    columns are not read; an empty table gives an empty result.
-    """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, root and component_id of every row of ``docs``."""
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")
+    )
     signed = materialise(texts.mapInArrow(_sign, _SIGNED), "signatures")
     nodes = (
         signed.where("n_shingles > 0")
@@ -312,21 +308,61 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = _linked(texts, nodes)
     named = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_key = named.join(least, "root").select("key", "component_id")
+    of_key = named.join(least, "root").select("key", "root", "component_id")
+    return signed.drop("signature").join(of_key, "key", "left").drop("key")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
+
+    component_id is the smallest doc_id that links lead to, its own included; NULL ids are
+    passed over, and a component of NULL ids has none. ``kept`` is doc_id = component_id,
+    false for NULL; rows that repeat a kept doc_id are all kept. A NULL or empty text, or
+    one without words, has no shingles and no links. Equal shingle sets are linked. Other
+    columns are not read; an empty table gives an empty result.
+    """
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
-        signed.select("doc_id", "n_shingles", "key")
-        .join(of_key, "key", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("component_id"))
-            .otherwise(F.col("doc_id"))
-            .alias("component_id"),
-        )
+        _grouped(docs)
+        .select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without shingles, and one row of each component of the others.
+
+    That is the row of the smallest doc_id (NULL last), then of the smallest text hash; of
+    rows that agree in doc_id and text any one.
+    """
+    (hashed,) = fresh(docs, "_text_hash")
+    grouped = materialise(_grouped(docs).where("n_shingles > 0"), "groups")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = grouped.groupBy("root").agg(F.min(first).alias("first"))
+    gone = (
+        grouped.join(kept, "root")
+        .where(~first.eqNullSafe(F.col("first")))
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        .distinct()
+    )
+    gone = materialise(gone, "gone")
+    if gone.count() <= MAX_BROADCAST:
+        gone = F.broadcast(gone)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col(hashed).eqNullSafe(F.col("_hash"))
+    left = docs.withColumn(hashed, F.xxhash64("text")).join(gone, same, "left_anti")
+    copies = (
+        grouped.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        .count()
+        .where("count > 1")
+        .drop("count")
+    )
+    copies = materialise(copies, "copies")
+    if not copies.isEmpty():
+        repeated = left.join(copies, same, "left_semi").dropDuplicates(["doc_id", hashed])
+        left = left.join(copies, same, "left_anti").unionByName(repeated)
+    return left.drop(hashed)
+
+
 def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and root of every node with a confirmed link."""
     depth, orders = DEPTHS[0]
@@ -342,7 +378,8 @@ def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         asked, keys = F.broadcast(asked), F.broadcast(keys)
     of = F.col("doc_id").eqNullSafe(F.col("asked"))
     sets = (
-        texts.join(asked, of, "left_semi")
+        texts.select("doc_id", "text")
+        .join(asked, of, "left_semi")
         .select("text")
         .mapInArrow(_sets, "key binary, hashes binary")
         .join(keys, "key")
