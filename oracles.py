@@ -1,6 +1,6 @@
 """The same answers in plain SQL, for the comparison with another engine.
 
-Written from the rules, not from the Spark code: amounts are whole numbers of 1/10000,
+Written from the rules, not from the Spark code: amounts are whole numbers of 1/1000000,
 and averages come from integer division.
 """
 
@@ -22,7 +22,7 @@ _helpers = ", ".join(f"{e} as {n}" for n, e in HELPERS.items())
 _columns = ",\n  ".join(f"{e} as {n}" for n, e in COLUMNS.items())
 FEED = f"""
 joined as (select *, {_helpers} from lineitem
-  join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey),
+  left join orders on l_orderkey = o_orderkey left join part on l_partkey = p_partkey),
 feed as (select {_columns}, timestamp '{INGESTED_AT}' as _ingested_at,
   '{SOURCE_FILE}' as _source_file from joined)"""
 
@@ -31,7 +31,7 @@ def _digits(text: str) -> str:
     return f"case when regexp_full_match({text}, '[0-9]+') then try_cast({text} as bigint) end"
 
 
-def _number(text: str, dtype: str = "decimal(18, 4)") -> str:
+def _number(text: str, dtype: str = "decimal(24, 6)") -> str:
     return f"case when regexp_full_match({text}, '[0-9]+([.][0-9]+)?') then try_cast({text} as {dtype}) end"
 
 
@@ -54,9 +54,9 @@ _tests = (
     "quantity is null",
     "transaction_date is null",
     "transaction_id is null",
-    "unit_price = 0",
+    "unit_price <= 0",
     "tax_amount < 0",
-    "quantity = 0",
+    "quantity <= 0",
     "is_duplicate_id",
 )
 _reasons = ", ".join(
@@ -79,8 +79,8 @@ judged as (select typed.*, shared.id is not null as is_duplicate_id
   from typed left join shared on typed.transaction_id = shared.id),
 staged as (select *, list_filter([{_reasons}], lambda code: code is not null) as dq_reasons,
   customer_id is null as missing_customer,
-  cast(quantity * unit_price as decimal(29, 4)) as subtotal,
-  cast(quantity * unit_price + tax_amount as decimal(30, 4)) as total_amount,
+  cast(quantity * unit_price as decimal(35, 6)) as subtotal,
+  cast(quantity * unit_price + tax_amount as decimal(36, 6)) as total_amount,
   len(dq_reasons) = 0 as is_valid from judged)"""
 
 MARTS = f"""{STAGED},
@@ -111,7 +111,7 @@ def _half_up(top: str, bottom: str, digits: int) -> str:
 
 
 def _units(column: str) -> str:
-    return f"sum(cast({column} * 10000 as bigint))"
+    return f"sum(cast({column} * 1000000 as hugeint))"
 
 
 QUALITY = f"""{MARTS},
@@ -121,8 +121,8 @@ metrics as (select *, rows_modelled + rows_quarantined = rows_received as reconc
   {_half_up("100 * rows_quarantined", "rows_received", 1)} as quarantine_pct from counts)"""
 
 _totals = """count(*) as num_transactions, cast(sum(quantity) as bigint) as total_quantity,
-  cast(sum(subtotal) as decimal(38, 4)) as total_subtotal, cast(sum(tax_amount) as decimal(28, 4)) as total_tax,
-  cast(sum(total_amount) as decimal(38, 4)) as total_amount"""
+  cast(sum(subtotal) as decimal(38, 6)) as total_subtotal, cast(sum(tax_amount) as decimal(34, 6)) as total_tax,
+  cast(sum(total_amount) as decimal(38, 6)) as total_amount"""
 
 
 def _with(ctes: str, query: str) -> str:
@@ -179,14 +179,14 @@ _issue_flags = f"""flags as (select not {_ok["price"]} as bad_price, not {_ok["t
 
 def _tax_buckets(base: str, where: str, scale: int, name: str) -> str:
     """Tax over base in steps of five percent; both as whole numbers of 10^-scale."""
-    tax = f"cast(cast(tax as decimal(38, 8)) * {10 ** scale} as hugeint)"
+    tax = f"cast(try_cast(tax as decimal(28, 10)) * {10 ** scale} as hugeint)"
     return _with(FEED, f"""select cast(5 * ((2 * 20 * t + b) // nullif(2 * b, 0)) as bigint) as {name}, count(*) as n
-  from (select {tax} as t, cast(cast({base} as decimal(38, 8)) * {10 ** scale} as hugeint) as b from feed
+  from (select {tax} as t, cast(cast({base} as decimal(38, 10)) * {10 ** scale} as hugeint) as b from feed
     where {_ok["tax"]} and {where}) group by 1""")
 
 
-_price, _quantity = "cast(price as decimal(18, 4))", "cast(quantity as decimal(12, 4))"
-_tax = "cast(tax as decimal(18, 4))"
+_price, _quantity = "try_cast(price as decimal(24, 6))", "try_cast(quantity as decimal(12, 4))"
+_tax = "try_cast(tax as decimal(24, 6))"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -231,17 +231,17 @@ def oracle_sql() -> dict[str, str]:
           {_totals},
           count(distinct customer_id) filter (where customer_id <> -1) as num_customers,
           count(distinct product_id) as distinct_products,
-          {_half_up(_units("total_amount"), "10000 * count(*)", 2)} as avg_transaction_value,
+          {_half_up(_units("total_amount"), "1000000 * count(*)", 2)} as avg_transaction_value,
           {_half_up("sum(quantity)", "count(*)", 2)} as avg_units_per_transaction
           from fact group by 1"""),
         "agg_sales_by_customer": _with(MARTS, f"""select customer_id, customer_id = -1 as is_unknown, {_totals},
           count(distinct product_id) as distinct_products,
-          {_half_up(_units("total_amount"), "10000 * count(*)", 2)} as avg_transaction_value,
+          {_half_up(_units("total_amount"), "1000000 * count(*)", 2)} as avg_transaction_value,
           min(transaction_date) as first_transaction_date, max(transaction_date) as last_transaction_date
           from fact group by 1"""),
         "agg_sales_by_product": _with(MARTS, f""", sums as (select f.product_id, p.product_name, {_totals},
             {_units("total_amount")} as units,
-            {_half_up(_units("unit_price"), "10000 * count(*)", 2)} as avg_unit_price
+            {_half_up(_units("unit_price"), "1000000 * count(*)", 2)} as avg_unit_price
             from fact f join product p on f.product_id = p.product_id group by 1, 2)
           select * exclude (units),
             {_half_up("100 * units", "(select sum(units) from sums)", 1)} as revenue_share_pct
@@ -254,6 +254,16 @@ def oracle_sql() -> dict[str, str]:
             'run-0001' as run_id, 'quarantine_pct=' || quarantine_pct || ' threshold=40.0' as message
           from metrics, (select unnest(['dq_reconcile_failed', 'dq_quarantine_high']) as code)
           where case when code = 'dq_reconcile_failed' then not reconciles else quarantine_pct > 40 end"""),
+        "dq_alerts_low_threshold": _with(QUALITY, """select code as event, 'transactions' as job,
+            'dq_report' as task, 'run-0001' as run_id,
+            'quarantine_pct=' || quarantine_pct || ' threshold=5.0' as message
+          from metrics, (select unnest(['dq_reconcile_failed', 'dq_quarantine_high']) as code)
+          where case when code = 'dq_reconcile_failed' then not reconciles else quarantine_pct > 5 end"""),
+        "stg_classified_large_path": _with(STAGED, """select * exclude (dq_reasons),
+          array_to_string(dq_reasons, '|') as dq_reasons from staged"""),
+        "check_relationships_fixed_calendar": _with(MARTS, """select date_key as from_field,
+          count(*) as n_records from fact
+          where transaction_date < '1994-01-01' or transaction_date >= '1997-01-01' group by 1"""),
         "check_not_null": _checks(
             *_nulls("product", "dim_product", "product_id product_name"),
             *_nulls("customer", "dim_customer", "customer_id"),
@@ -304,13 +314,13 @@ def oracle_sql() -> dict[str, str]:
             cast(status <> 'pass' as bigint) as failures, status from
           (select case when age > 72 * 3600 then 'fail' when age > 24 * 3600 then 'warn' else 'pass' end as status
             from (select epoch(timestamp '2024-01-04 00:00:00') - epoch(max(_ingested_at)) as age from feed))"""),
-        "check_digits_lost": _checks(
-            _check("digits_lost_unit_price", """select count(*) from staged where unit_price is not null
-              and regexp_matches(price_raw, '^[0-9]+[.][0-9]{4}[0-9]*[1-9]')""", "warn",
-              "case when failures > 0 then 'warn' else 'pass' end"),
-            _check("digits_lost_tax_amount", """select count(*) from staged where tax_amount is not null
-              and regexp_matches(tax_raw, '^[0-9]+[.][0-9]{4}[0-9]*[1-9]')""", "warn",
-              "case when failures > 0 then 'warn' else 'pass' end")),
+        "check_digits_lost": _checks(*[
+            _check(f"{name}_{typed}", f"select count(*) from staged where {typed} is {state} "
+                   f"and regexp_matches({text}, '{form}')", "warn",
+                   "case when failures > 0 then 'warn' else 'pass' end")
+            for typed, text in (("unit_price", "price_raw"), ("tax_amount", "tax_raw"))
+            for name, state, form in (("digits_lost", "not null", "^[0-9]+[.][0-9]{6}[0-9]*[1-9]"),
+                                      ("overflow", "null", "^[0-9]+([.][0-9]+)?$"))]),
         "failing_unique": _with(STAGED, """select transaction_id as unique_field, count(*) as n_records
           from staged where transaction_id is not null group by 1 having count(*) > 1"""),
         "failing_relationships": _with(MARTS, """select transaction_id as from_field, count(*) as n_records
@@ -351,11 +361,11 @@ def oracle_sql() -> dict[str, str]:
         "profile_tax": _with(FEED, f"""select count(*) filter (where {_ok["tax"]}) as numeric_vals,
           count(*) filter (where not {_ok["tax"]}) as non_numeric_vals from feed"""),
         "profile_bad_taxes": _bad_values("tax"),
-        "profile_tax_vs_price": _with(FEED, f"""select cast(round(min(t), 2) as decimal(17, 2)) as min_tax,
-            cast(round(max(t), 2) as decimal(17, 2)) as max_tax,
-            {_half_up(_units("t"), "10000 * count(*)", 2)} as avg_tax,
-            cast(round(min(p), 2) as decimal(17, 2)) as min_price,
-            cast(round(max(p), 2) as decimal(17, 2)) as max_price,
+        "profile_tax_vs_price": _with(FEED, f"""select cast(round(min(t), 2) as decimal(21, 2)) as min_tax,
+            cast(round(max(t), 2) as decimal(21, 2)) as max_tax,
+            {_half_up(_units("t"), "1000000 * count(*)", 2)} as avg_tax,
+            cast(round(min(p), 2) as decimal(21, 2)) as min_price,
+            cast(round(max(p), 2) as decimal(21, 2)) as max_price,
             cast(round(avg(cast(t as double) / nullif(cast(p as double), 0)) * 100, 1) as decimal(28, 1))
               as avg_tax_pct_of_price
           from (select {_tax} as t, {_price} as p from feed where {_ok["tax"]} and {_ok["price"]})"""),
@@ -367,21 +377,21 @@ def oracle_sql() -> dict[str, str]:
         "profile_issues_per_row": _with(FEED, f""", {_issue_flags}
           select cast(bad_price as integer) + cast(bad_tax as integer) + cast(bad_qty as integer)
             + cast(missing_customer as integer) as issues_on_row, count(*) as n_rows from flags group by 1"""),
-        "profile_tax_summary": _with(FEED, f"""select count(*) as n, cast(round(min(t), 2) as decimal(17, 2)) as min,
-            cast(round(max(t), 2) as decimal(17, 2)) as max,
-            {_half_up(_units("t"), "10000 * count(*)", 2)} as avg,
+        "profile_tax_summary": _with(FEED, f"""select count(*) as n, cast(round(min(t), 2) as decimal(21, 2)) as min,
+            cast(round(max(t), 2) as decimal(21, 2)) as max,
+            {_half_up(_units("t"), "1000000 * count(*)", 2)} as avg,
             cast(round(stddev_samp(cast(t as double)), 2) as decimal(28, 2)) as stddev,
             count(*) filter (where t = round(t)) as whole_numbers
           from (select {_tax} as t from feed where {_ok["tax"]})"""),
         "profile_tax_correlation": _with(FEED, f"""select
-            (select cast(round(corr(cast(tax as double), cast(price as double)), 3) as decimal(28, 3)) from feed
+            (select cast(round(corr(cast(tax as double), cast({_price} as double)), 3) as decimal(28, 3)) from feed
               where {_ok["tax"]} and {_ok["price"]}) as corr_tax_price,
-            (select cast(round(corr(cast(tax as double), cast(quantity as double) * cast(price as double)), 3)
+            (select cast(round(corr(cast(tax as double), cast(quantity as double) * cast({_price} as double)), 3)
               as decimal(28, 3)) from feed
               where {_ok["tax"]} and {_ok["price"]} and {_ok["quantity"]}) as corr_tax_subtotal"""),
-        "profile_tax_percent_of_price": _tax_buckets(_price, _ok["price"], 4, "pct_of_price_bucket"),
+        "profile_tax_percent_of_price": _tax_buckets(_price, _ok["price"], 10, "pct_of_price_bucket"),
         "profile_tax_percent_of_subtotal": _tax_buckets(
-            f"({_quantity} * {_price})", f"{_ok['price']} and {_ok['quantity']}", 8, "pct_of_subtotal_bucket"),
+            f"({_quantity} * {_price})", f"{_ok['price']} and {_ok['quantity']}", 10, "pct_of_subtotal_bucket"),
     }
     return answers | {"profile_overview": _side_by_side(answers)}
 

@@ -13,6 +13,7 @@ from siftledger.plans import checks, marts, profiling, quality
 from siftledger.plans.checks import Severity
 from siftledger.plans.run import Options, attach, run
 from siftledger.session import configured
+from siftledger.sinks.warehouse import Warehouse
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
 
     asks = commands.add_parser("profile", help="answer the profiling questions on the landed rows")
     asks.add_argument("root", help="warehouse folder")
-    asks.add_argument("--rows", type=int, default=20, help="answer rows to print")
+    asks.add_argument("--rows", type=int, default=20, help="rows of each stored answer to print")
 
     ages = commands.add_parser("freshness", help="test the age of the newest landed rows")
     ages.add_argument("root", help="warehouse folder")
@@ -65,14 +66,17 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> None:
             strict=not given.keep_going,
         ),
     )
-    result.summary.show(truncate=False)
+    result.summary.show(result.summary.count(), truncate=False)
 
 
 def _profile(spark: SparkSession, given: argparse.Namespace) -> None:
-    attach(spark, given.root)
+    published = attach(spark, given.root)
+    store = Warehouse(spark, given.root, published.run_id)  # an attempt of its own
     for question, answer in profiling.profile(spark.table("raw.customer_transactions")).items():
-        print(f"=== {question}")
-        answer.show(given.rows, truncate=False)
+        stored = store.write(answer, "dq_audit", f"profile_{question}")
+        order = list(answer.columns)
+        print(f"=== {question}: {stored.count()} rows in {store.path('dq_audit', f'profile_{question}')}")
+        stored.orderBy(*order).show(given.rows, truncate=False)
 
 
 def _freshness(spark: SparkSession, given: argparse.Namespace) -> None:

@@ -37,7 +37,7 @@ def prefixed_id(text: Column, prefix: str) -> Column:
 
 
 def float_form_id(text: Column) -> Column:
-    """``501.0`` and ``501`` are 501; ``501.5`` is not an id."""
+    """``84.0`` and ``84`` are 84; ``84.5`` is not an id."""
     return F.when(text.rlike(FLOAT_FORM_ID), _before_point(text).try_cast(T.LongType()))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def ratio_half_up(numerator: Column, denominator: Column, digits: int, scale: int = 4) -> Column:
+def ratio_half_up(numerator: Column, denominator: Column, digits: int, scale: int = 6) -> Column:
     """``numerator / denominator`` rounded half up to ``digits`` places.
 
     Both sides are non-negative with at most ``scale`` decimals. A zero or NULL

@@ -23,18 +23,18 @@ class Rule:
 
 
 DEFAULT_RULES = (
-    # A measure or key that cannot be recovered.
+    # Not readable as its type.
     Rule("price_not_numeric", "unit_price IS NULL"),
     Rule("tax_not_numeric", "tax_amount IS NULL"),
     Rule("quantity_missing_or_invalid", "quantity IS NULL"),
     Rule("date_unparseable", "transaction_date IS NULL"),
     Rule("transaction_id_invalid", "transaction_id IS NULL"),
-    # A recovered value out of range. Signs never pass coercion, so tax_negative stays
+    # Readable, but not acceptable. Signs never pass coercion, so tax_negative stays
     # silent on feeds read by this library; its code is still part of the vocabulary.
     Rule("price_non_positive", "unit_price <= 0"),
     Rule("tax_negative", "tax_amount < 0"),
     Rule("quantity_non_positive", "quantity <= 0"),
-    # A broken grain.
+    # More than one row for one id.
     Rule("duplicate_transaction_id", "is_duplicate_id"),
 )
 

@@ -4,7 +4,8 @@ A window partitioned by the key would shuffle and sort whole rows, and would put
 row of a hot key, and every row without a key, into one task. Here only the key column
 is shuffled, already counted per map task, so a hot key arrives as one record per task.
 The rows themselves then pass through a broadcast join, without a shuffle, whenever the
-repeated keys are few; otherwise only rows of lightly repeated keys are shuffled.
+repeated keys are few; otherwise the most repeated are broadcast and the others joined, in
+one scan and one shuffle without a hot group.
 """
 
 from __future__ import annotations
@@ -39,21 +40,26 @@ def mark_repeated(
 
     ``repeated`` comes from :func:`repeated_keys` and should be materialised: its size
     is measured here, and it is joined afterwards. Rows without a key are never marked.
+    Keys are whole numbers from 0.
     """
     size = repeated.agg(F.count("*").alias("keys"), F.sum("n_rows").alias("rows")).first()
     if size["keys"] <= max_broadcast_keys:
         return _marked(rows, key, F.broadcast(repeated), flag)
 
     # At most max_broadcast_keys keys can each hold rows / max_broadcast_keys rows, so
-    # the hot keys always fit a broadcast. Rows whose verdict is then known stay where
-    # they are; the rest meet their key in a shuffle without hot groups.
+    # the hot keys always fit a broadcast.
     hot_rows = max(min_hot_rows, size["rows"] // max_broadcast_keys + 1)
     hot = F.broadcast(repeated.where(F.col("n_rows") >= hot_rows))
     light = repeated.where(F.col("n_rows") < hot_rows)
     checked = _marked(rows, key, hot, flag)
+    # Decided rows meet no key: each gets a negative number of its own, so they spread over
+    # all tasks and one join serves all rows.
     decided = F.col(key).isNull() | F.col(flag)
-    return checked.where(decided).unionByName(
-        _marked(checked.where(~decided).drop(flag), key, light, flag)
+    own = -1 - F.shiftrightunsigned(F.xxhash64(*rows.columns, F.monotonically_increasing_id()), 1)
+    found = light.select(F.col(key).alias("_light"), F.lit(True).alias("_found"))
+    probed = checked.withColumn("_probe", F.when(decided, own).otherwise(F.col(key)))
+    return probed.join(found, F.col("_probe") == F.col("_light"), "left").select(
+        *rows.columns, (F.col(flag) | F.coalesce("_found", F.lit(False))).alias(flag)
     )
 
 

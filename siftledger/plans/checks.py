@@ -22,6 +22,7 @@ from siftledger.schemas import (
     DIM_DATE,
     DIM_PRODUCT,
     FACT,
+    MONEY,
     QUARANTINE,
     REASON_CODES,
     RUN_AUDIT,
@@ -248,17 +249,21 @@ def vocabulary_check(codes: Sequence[str]) -> Check:
 
 
 def digits_lost_checks(relation: str = STAGED.name) -> list[Check]:
-    """Numbers whose text has more decimals than the money type keeps (warning only)."""
-    longer = r"RLIKE '^[0-9]+\\.[0-9]{4}[0-9]*[1-9]'"
+    """Numbers with more digits than the money type keeps (warnings).
+
+    ``digits_lost_``: longer fractions, which were rounded. ``overflow_``: numbers in the
+    accepted form that are too large, which have no typed value.
+    """
+    longer = rf"RLIKE '^[0-9]+\\.[0-9]{{{MONEY.scale}}}[0-9]*[1-9]'"
+    number = r"RLIKE '^[0-9]+(\\.[0-9]+)?\\z'"
     warning = Severity(warn_above=0, fail_from=None)
     return [
-        RowCheck(
-            f"digits_lost_{typed}",
-            relation,
-            warning,
-            broken=f"{typed} IS NOT NULL AND {text} {longer}",
-        )
+        RowCheck(f"{name}_{typed}", relation, warning, broken=f"{typed} IS {state} AND {text} {form}")
         for typed, text in (("unit_price", "price_raw"), ("tax_amount", "tax_raw"))
+        for name, state, form in (
+            ("digits_lost", "NOT NULL", longer),
+            ("overflow", "NULL", number),
+        )
     ]
 
 

@@ -268,17 +268,21 @@ def tax_percent_of_price(raw: DataFrame) -> DataFrame:
 
 
 def tax_percent_of_subtotal(raw: DataFrame) -> DataFrame:
-    subtotal = _number("quantity") * _number("price")
+    # Narrower than money, so that the product keeps all its decimals.
+    quantity = coerce.decimal_number(F.col("quantity"), T.DecimalType(12, 4))
+    subtotal = quantity * _number("price")
     return _tax_percent(raw, ["price", "quantity"], subtotal, "pct_of_subtotal_bucket")
 
 
 def _tax_percent(raw: DataFrame, numeric: list[str], base: Column, bucket: str) -> DataFrame:
     """Rows by tax as a percentage of ``base``, to the nearest five; zero base is NULL."""
-    steps = ratio_half_up(_number("tax") * F.lit(100 // PERCENT_STEP), base, 0, scale=8)
     for column in ["tax", *numeric]:
         raw = raw.where(_numeric(column))
+    typed = raw.select((_number("tax") * F.lit(100 // PERCENT_STEP)).alias("top"), base.alias("base"))
+    steps = ratio_half_up(F.col("top"), F.col("base"), 0, scale=10)
     return (
-        raw.groupBy((steps * F.lit(PERCENT_STEP)).cast("long").alias(bucket))
+        typed.select(steps.alias("steps"))
+        .groupBy((F.col("steps") * F.lit(PERCENT_STEP)).cast("long").alias(bucket))
         .agg(F.count("*").alias("n"))
         .orderBy(bucket)
     )

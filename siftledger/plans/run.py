@@ -112,12 +112,16 @@ def _build_and_report(
 ) -> RunReport:
     relations = build(warehouse, raw, run_ts, options.spine)
     enforce_contracts(relations)
-    relations |= summarise(warehouse, relations, run_ts)
+    relations |= summarise(warehouse, relations)
 
-    warehouse.publish(PUBLISHED, LOGS, VIEWS)
+    # History is appended once the tables are published: a run that fails before leaves none.
+    warehouse.publish(PUBLISHED, (), VIEWS)
+    relations |= note_in_history(warehouse, relations, run_ts)
+    warehouse.publish((), LOGS, {})
     warehouse.record(datetime.now(timezone.utc))
 
-    outcome = test(warehouse, relations, checks.declared_checks(options.quarantine_severity))
+    declared = checks.declared_checks(options.quarantine_severity) + checks.digits_lost_checks()
+    outcome = test(warehouse, relations, declared)
     raised = report(warehouse, relations, options.quarantine_alert_pct)
     summary = quality.run_summary(relations[schemas.COMPLETENESS.name], relations[checks.REASONS])
     return RunReport(warehouse, relations, outcome, raised, summary)
@@ -178,13 +182,11 @@ def enforce_contracts(relations: Mapping[str, DataFrame]) -> None:
         raise ContractViolation("; ".join(problems))
 
 
-def summarise(
-    warehouse: Warehouse, relations: Mapping[str, DataFrame], run_ts: datetime
-) -> dict[str, DataFrame]:
-    """Sales summaries, completeness and the history row."""
+def summarise(warehouse: Warehouse, relations: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Sales summaries and completeness."""
     fact = relations[schemas.FACT.name]
     products = relations[schemas.DIM_PRODUCT.name]
-    summaries = _together(
+    return _together(
         warehouse,
         {
             schemas.MONTHLY_SALES: lambda: aggregates.monthly_sales(fact),
@@ -195,13 +197,19 @@ def summarise(
             ),
         },
     )
+
+
+def note_in_history(
+    warehouse: Warehouse, relations: Mapping[str, DataFrame], run_ts: datetime
+) -> dict[str, DataFrame]:
+    """Append the run's history row; the whole history."""
     audit = quality.run_audit(
-        summaries[schemas.COMPLETENESS.name], relations[checks.REASONS], warehouse.run_id, run_ts
+        relations[schemas.COMPLETENESS.name], relations[checks.REASONS], warehouse.run_id, run_ts
     )
-    summaries[schemas.RUN_AUDIT.name] = warehouse.append_once(
+    history = warehouse.append_once(
         audit, schemas.RUN_AUDIT.namespace, schemas.RUN_AUDIT.name, "invocation_id"
     )
-    return summaries
+    return {schemas.RUN_AUDIT.name: history}
 
 
 def test(
@@ -226,7 +234,7 @@ def report(
     warehouse.append_once(alerts, "analytics", "dq_alerts", "run_id")
     raised = alerts.collect()  # at most one row per alert code
     for alert in raised:
-        log.warning("ALERT %s", json.dumps(alert.asDict()))
+        log.warning("quality alert: %s", json.dumps(alert.asDict()))
     return raised
 
 

@@ -10,7 +10,12 @@ from pyspark.sql import types as T
 
 from siftledger.functions import coerce
 from siftledger.operators.classify import DEFAULT_RULES, Rule, classify
-from siftledger.operators.duplicates import mark_repeated, repeated_keys
+from siftledger.operators.duplicates import (
+    MAX_BROADCAST_KEYS,
+    MIN_HOT_ROWS,
+    mark_repeated,
+    repeated_keys,
+)
 from siftledger.schemas import MONEY, RAW_COLUMNS, STAGED
 from siftledger.session import materialise
 
@@ -50,6 +55,8 @@ def staged(
     raw: DataFrame,
     repeated: DataFrame | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Every raw row with typed values and verdict.
 
@@ -58,5 +65,7 @@ def staged(
     """
     if repeated is None:
         repeated = materialise(repeated_transaction_ids(raw), "repeated-ids")
-    marked = mark_repeated(coerced(raw), "transaction_id", repeated, "is_duplicate_id")
+    marked = mark_repeated(
+        coerced(raw), "transaction_id", repeated, "is_duplicate_id", max_broadcast_keys, min_hot_rows
+    )
     return classify(marked, rules).select(*STAGED.schema.names)

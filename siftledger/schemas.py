@@ -31,11 +31,12 @@ REASON_CODES = (
 UNKNOWN_CUSTOMER = -1
 NAMESPACES = ("raw", "staging", "analytics", "dq_audit")
 
-# Money is exact. Longer fractions are rounded to four digits by the cast; the
-# ``digits_lost`` check counts the rows where that changed a value.
-MONEY = T.DecimalType(18, 4)
-SUBTOTAL = T.DecimalType(29, 4)
-TOTAL = T.DecimalType(30, 4)
+# Money is exact, with 18 digits before the point and six after it; sums have 32 before
+# it. The ``digits_lost`` checks count longer fractions, which are rounded, and larger
+# numbers, which have no typed value; a run stores both counts.
+MONEY = T.DecimalType(24, 6)
+SUBTOTAL = T.DecimalType(35, 6)
+TOTAL = T.DecimalType(36, 6)
 
 
 def field(name: str, dtype: T.DataType, comment: str = "", nullable: bool = True) -> T.StructField:
@@ -238,8 +239,8 @@ COMPLETENESS = Relation(
     ),
 )
 
-_summed = T.DecimalType(38, 4)
-_tax_summed = T.DecimalType(28, 4)
+_summed = T.DecimalType(38, 6)
+_tax_summed = T.DecimalType(34, 6)
 _average = T.DecimalType(28, 2)
 _measures = [
     field("total_quantity", _long, "Units sold."),
@@ -299,4 +300,4 @@ SALES_BY_PRODUCT = Relation(
     ),
 )
 
-CONTRACTS = (DIM_PRODUCT, DIM_CUSTOMER, DIM_DATE, FACT)
+CONTRACTS = tuple(r for r in (DIM_PRODUCT, DIM_CUSTOMER, DIM_DATE, FACT) if r.enforced)

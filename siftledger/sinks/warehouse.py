@@ -104,9 +104,9 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {location}")
         views = [(r, self.path(r.namespace, r.name)) for r in relations]
         views += [(r, self.log_path(r.namespace, r.name)) for r in logs]
-        with ThreadPoolExecutor(len(views)) as pool:
+        with ThreadPoolExecutor(max(len(views), 1)) as pool:
             task = inheritable_thread_target(self.spark)(self._view)
-            list(pool.map(task, *zip(*views, strict=True)))
+            list(pool.map(lambda view: task(*view), views))
         for name, query in queries.items():
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 

@@ -62,16 +62,21 @@ def count_data_rows(spark: SparkSession, path: str, multi_line: bool = False) ->
     The scan also stops at any file whose header, names trimmed, is not the expected
     one. It keeps ragged rows, so it does not share the landing's way of failing.
     """
-    return (
+    scan = (
         _reader(spark, multi_line)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", False)
         .option("columnPruning", False)  # the header is compared with all columns
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-        .count()
     )
+    exact = "spark.sql.caseSensitive"
+    before = spark.conf.get(exact)
+    spark.conf.set(exact, "true")
+    try:
+        return scan.csv(path).count()
+    finally:
+        spark.conf.set(exact, before)
 
 
 def read_source(

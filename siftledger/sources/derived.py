@@ -50,10 +50,14 @@ COLUMNS = {
     "quantity": """case when line % 13 = 0 then null when line % 103 = 0 then '0'
         when line % 29 = 0 then '2.5'
         else cast(cast(l_quantity as decimal(12, 1)) as string) end""",
-    "price": """case when line % 17 = 0 then 'Two Hundred' when line % 107 = 0 then '0'
-        when line % 109 = 0 then '-5.00'
+    "price": """case when line % 17 = 0 then 'on request' when line % 107 = 0 then '0'
+        when line % 109 = 0 then '-7.25'
+        when line % 113 = 0 then '123456789012345.25'
+        when line % 127 = 0 then cast(cast(l_extendedprice as decimal(12, 2)) as string) || '6789'
+        when line % 131 = 0 then cast(cast(l_extendedprice as decimal(12, 2)) as string) || '67891'
+        when line % 137 = 0 then '1234567890123456789.5'
         else cast(cast(l_extendedprice as decimal(12, 2)) as string) end""",
-    "tax": """case when line % 19 = 0 then 'Fifteen'
+    "tax": """case when line % 19 = 0 then 'exempt'
         else cast(cast(cast(l_tax as decimal(12, 2)) * 100 as decimal(12, 2)) as string) end""",
 }
 
@@ -66,8 +70,8 @@ def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
     joined = (
         _spread(lines)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
     return joined.withColumns({n: F.expr(e) for n, e in HELPERS.items()}).select(
         *[F.expr(e).alias(n) for n, e in COLUMNS.items()],

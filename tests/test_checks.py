@@ -17,7 +17,7 @@ from siftledger.plans.checks import (
     Severity,
     UniqueCheck,
 )
-from siftledger.schemas import CONTRACTS, DIM_CUSTOMER, DIM_PRODUCT, FACT, REASON_CODES
+from siftledger.schemas import CONTRACTS, DIM_CUSTOMER, DIM_PRODUCT, FACT, MONEY, REASON_CODES
 
 
 @pytest.fixture(scope="module")
@@ -113,12 +113,16 @@ def test_vocabulary(spark):
 
 def test_digits_lost(spark):
     rows = spark.createDataFrame(
-        [("1.12345", "1"), ("1.12340", "0.00001"), ("1.1", "x.00001"), ("12", None)],
+        [("1.1234567", "1"), ("1.1234560", "0.0000001"), ("1.1", "x.0000001"), ("12", None),
+         ("1234567890123456789", "9" * 18)],
         "price_raw string, tax_raw string",
-    ).select("*", F.col("price_raw").try_cast("decimal(18,4)").alias("unit_price"),
-             F.col("tax_raw").try_cast("decimal(18,4)").alias("tax_amount"))
+    ).select("*", F.col("price_raw").try_cast(MONEY).alias("unit_price"),
+             F.col("tax_raw").try_cast(MONEY).alias("tax_amount"))
     found = result({"stg_customer_transactions": rows}, *checks.digits_lost_checks())
-    assert found == {"digits_lost_unit_price": (1, "warn"), "digits_lost_tax_amount": (1, "warn")}
+    assert found == {
+        "digits_lost_unit_price": (1, "warn"), "digits_lost_tax_amount": (1, "warn"),
+        "overflow_unit_price": (1, "warn"), "overflow_tax_amount": (0, "pass"),
+    }
 
 
 def test_schema_problems(spark):

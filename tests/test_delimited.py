@@ -13,7 +13,7 @@ from siftledger.sources import delimited
 from siftledger.sources.delimited import ReconciliationError
 
 HEADER = ",".join(RAW_COLUMNS)
-ROW = "1001,501.0,2023-07-11,101,Product A,1.0,76.27,8.23"
+ROW = "7,84.0,2022-03-09,55,Brass lamp,3.0,18.40,1.15"
 RUN_TS = datetime(2024, 1, 2, tzinfo=timezone.utc)
 SCAN_FAILURE = (PySparkException, Py4JJavaError)
 
@@ -40,14 +40,14 @@ def test_header_names_are_trimmed(spark, source):
     path = source(ROW, header=HEADER.replace(",", " , "))
     delimited.validate_header(spark, path)
     assert delimited.count_data_rows(spark, path) == 1
-    assert delimited.read_source(spark, path, RUN_TS).first().transaction_id == "1001"
+    assert delimited.read_source(spark, path, RUN_TS).first().transaction_id == "7"
 
 
 @pytest.mark.parametrize(
-    "header", ["a,b,c", HEADER + ",more", ",".join(reversed(RAW_COLUMNS)), HEADER.upper()]
+    "header", ["one,two", HEADER + ",note", ",".join(reversed(RAW_COLUMNS)), HEADER.upper()]
 )
 def test_other_headers_are_refused(spark, source, header):
-    path = source("1,2,3", header=header)
+    path = source("x,y", header=header)
     with pytest.raises(ValueError, match="header"):
         delimited.validate_header(spark, path)
 
@@ -66,19 +66,27 @@ def test_every_file_of_a_folder_has_its_header_checked(spark, source, tmp_path):
     assert delimited.count_data_rows(spark, str(tmp_path)) == 3
     files = delimited.read_source(spark, str(tmp_path), RUN_TS)
     assert sorted(r._source_file for r in files.collect()) == ["a.csv", "b.csv", "b.csv"]
-    source(ROW, name="c.csv", header=HEADER.replace("price,tax", "tax,price"))
+    source(ROW, name="c.csv", header=HEADER.replace(",", " , "))
+    assert delimited.count_data_rows(spark, str(tmp_path)) == 4
+
+
+@pytest.mark.parametrize("header", [HEADER.replace("price,tax", "tax,price"), HEADER.upper()])
+def test_a_later_file_with_another_header_is_refused(spark, source, tmp_path, header):
+    source(ROW, name="a.csv")
+    source(ROW, name="b.csv", header=header)
     with pytest.raises(SCAN_FAILURE):
         delimited.count_data_rows(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
 
 
 def test_values_land_verbatim(spark, source):
     path = source(
-        "T1010,,18-07-2023,P100,  Product E ,,Two Hundred,Fifteen",
+        "T92,,23-11-2021,P6,  Oak shelf ,,on request,exempt",
         '2,"","2024-01-01",3,"Nut, ""hex""",1.0,007,\\N',
     )
     first, second = delimited.read_source(spark, path, RUN_TS).collect()
     assert tuple(first)[:8] == (
-        "T1010", None, "18-07-2023", "P100", "  Product E ", None, "Two Hundred", "Fifteen",
+        "T92", None, "23-11-2021", "P6", "  Oak shelf ", None, "on request", "exempt",
     )
     assert tuple(second)[:8] == ("2", "", "2024-01-01", "3", 'Nut, "hex"', "1.0", "007", "\\N")
 

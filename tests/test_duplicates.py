@@ -70,3 +70,15 @@ def test_rows_are_not_shuffled_when_keys_are_few(rows):
     plan = plan_of(mark_repeated(rows, "key", repeated, "again"))
     assert "BroadcastHashJoin" in plan
     assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_large_path_reads_the_rows_once(spark, tmp_path):
+    """One scan, and one shuffle of the rows at most, beside that of the repeated keys."""
+    spark.range(400).selectExpr("id % 150 AS key", "id AS row").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    repeated_keys(rows, "key").write.parquet(str(tmp_path / "repeated"))
+    repeated = spark.read.parquet(str(tmp_path / "repeated"))
+    marked = mark_repeated(rows, "key", repeated, "again", max_broadcast_keys=3, min_hot_rows=1)
+    plan = plan_of(marked)
+    assert plan.count("rows]") == 1 and "Union" not in plan
+    assert {r.row: r.again for r in marked.collect()} == brute_force(rows)

@@ -43,8 +43,8 @@ def evaluate(spark, column, values, *more):
         ),
         (
             coerce.decimal_number,
-            {"76.27": Decimal("76.2700"), "3": Decimal("3.0000"), "Two Hundred": None, "-5.00": None,
-             "1.0 ": None, "1.12345": Decimal("1.1235"), "1" * 20: None, "": None, None: None},
+            {"18.40": Decimal("18.400000"), "3": Decimal("3.000000"), "on request": None, "-7.25": None,
+             "1.0 ": None, "1.1234567": Decimal("1.123457"), "1" * 18: Decimal("1" * 18), "1" * 19: None, "": None, None: None},
         ),
         (
             coerce.two_format_date,
