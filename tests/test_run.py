@@ -13,6 +13,7 @@ from siftledger.plans import checks
 from siftledger.plans.checks import Severity
 from siftledger.plans.run import ChecksFailed, ContractViolation, Options, attach, run
 from siftledger.schemas import FACT, NAMESPACES, QUARANTINE, RAW, RAW_COLUMNS
+from siftledger.sinks.warehouse import Warehouse
 
 RUN_TS = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
@@ -202,6 +203,33 @@ def test_command_line(spark, tmp_path, capsys):
     assert "=== tax_percent_of_subtotal" in capsys.readouterr().out
 
 
+def test_profile_answers_are_stored_whole(spark, tmp_path, capsys):
+    """More rows than are printed."""
+    rows = [f"{i},4.0,2024-03-01,9,Lamp,1.0,2.50,0.10" for i in range(1, 31)] * 2
+    root = str(tmp_path / "w")
+    command.main(["run", write_feed(tmp_path / "a.csv", *rows), root, "--keep-going"])
+    capsys.readouterr()
+    command.main(["profile", root, "--rows", "5"])
+    assert "=== duplicate_ids: 30 rows in " in capsys.readouterr().out
+    assert spark.read.parquet(*map(str, Path(root, "dq_audit", "profile_duplicate_ids").glob("*/*"))).count() == 30
+
+
+def test_history_waits_for_publishing(spark, tmp_path, monkeypatch):
+    """A run that cannot publish leaves no history; its retry does."""
+    source, root = write_feed(tmp_path / "a.csv", *CLEAN), str(tmp_path / "w")
+
+    def refuse(*args):
+        raise OSError("catalog is down")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, "publish", refuse)
+        with pytest.raises(OSError, match="catalog"):
+            run(spark, source, root, "r", RUN_TS)
+    assert not Path(root, "analytics", "dq_run_audit").exists()
+    run(spark, source, root, "r", RUN_TS)
+    assert spark.table("analytics.dq_run_audit").count() == 1
+
+
 def test_declared_tests_cover_the_contracts(warehouse):
     _, result = warehouse
     assert {c.relation for c in checks.declared_checks()} <= set(result.relations)
