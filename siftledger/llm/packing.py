@@ -39,11 +39,14 @@ CAPACITY = 2048
 END_ID = 0
 # Pre-tokens a worker remembers at once, and steps of the search; both bound resources,
 # not results: a forgotten pre-token is tokenised again.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 STEPS = 3_000
 FILLINGS = 8
 
 
+_ENDS = (".", ",")
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes; pre-tokens are remembered."""
 
@@ -51,20 +54,31 @@ class Encoder:
         self.tokenizer = tokenizer_at(name)
         self.known: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}  # by part, which a space or line break precedes
-
-    def _learn(self, known: dict[str, bytes], keys: list[str], pre_tokens: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(pre_tokens, add_special_tokens=False)
-        for key, e in zip(keys, found):
+        self.ends = {
+            x: array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+            for x in _ENDS
+        }
+
+    def _learn(self, known: dict[str, bytes], new: set[str], whole) -> None:
+        """Encode pre-tokens; after a plain letter, a last point or comma stands by itself."""
+        ends = [k for k in new if k[-1:] in _ENDS and k[-2:-1].isascii() and k[-2:-1].isalpha()]
+        stems = {k[:-1] for k in ends}
+        direct = [*new.difference(ends), *(k for k in stems - new if k not in known)]
+        found = self.tokenizer.encode_batch_fast([whole(k) for k in direct], add_special_tokens=False)
+        for key, e in zip(direct, found):
             known[key] = array("I", e.ids).tobytes()
+        for key in ends:
+            known[key] = known[key[:-1]] + self.ends[key[-1]]
 
-    def _ids(self, known: dict[str, bytes], keys: list[str], whole=None) -> bytes:
+    def _ids(self, known: dict[str, bytes], keys: list[str], whole=str) -> bytes:
         ids = list(map(known.get, keys))
         if None in ids:
             if len(known) > REMEMBERED:
                 known.clear()
-            new = list({k for k in keys if k not in known})
-            self._learn(known, new, [whole(k) for k in new] if whole else new)
-            ids = list(map(known.__getitem__, keys))
+            missing = [i for i, x in enumerate(ids) if x is None]
+            self._learn(known, {keys[i] for i in missing}, whole)
+            for i in missing:
+                ids[i] = known[keys[i]]
         return b"".join(ids)
 
     def __call__(self, text: str) -> bytes:
