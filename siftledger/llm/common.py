@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # Bits of the non-negative hashes that keys are spread by.
 HASH_BITS = 63
 
@@ -76,6 +79,21 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
+_remembered: dict[str, object] = {}
+
+
+def worker_memory(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task under ``name``.
+
+    Only the one asked for last is kept, so the stages of a job that share workers do not
+    add up their memories.
+    """
+    if name not in _remembered:
+        _remembered.clear()
+        _remembered[name] = make()
+    return _remembered[name]
+
+
 def batches(rows: Iterable[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Record batches of at most ``size`` rows."""
     held: list[dict] = []

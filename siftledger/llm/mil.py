@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftledger.llm.common import strings, table
+from siftledger.llm.common import strings, table, worker_memory
 
 PASSAGE_WORDS = 64
 SHAPES, WORDS = 96, 96
@@ -31,7 +31,7 @@ TRAIN_DOCUMENTS = 4_000
 TRAIN_PASSAGES = 48
 EPOCHS, BATCH, RATE, DECAY = 25, 64, 0.004, 1e-4
 # Words a worker remembers at once; a forgotten word is read again.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 def shape(word: str) -> str:
     """The word's form: capitals, letters and digits as one sign per run, other signs as they are."""
@@ -107,14 +107,9 @@ class Encoder:
         return np.hstack(parts).astype(np.float32)
 
 
-_encoder: Encoder | None = None
-
-
 def worker_encoder() -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    global _encoder
-    _encoder = _encoder or Encoder()
-    return _encoder
+    return worker_memory("passages", Encoder)
 
 
 @dataclass

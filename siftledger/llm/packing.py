@@ -23,7 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftledger.llm.common import hash63, shuffle_partitions, strings, table, with_ordinal
+from siftledger.llm.common import (
+    hash63,
+    shuffle_partitions,
+    strings,
+    table,
+    with_ordinal,
+    worker_memory,
+)
 from siftledger.llm.token_counts import (
     VOCABULARY,
     has_double,
@@ -39,7 +46,7 @@ CAPACITY = 2048
 END_ID = 0
 # Pre-tokens a worker remembers at once, and steps of the search; both bound resources,
 # not results: a forgotten pre-token is tokenised again.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 STEPS = 3_000
 FILLINGS = 8
 
@@ -90,14 +97,9 @@ class Encoder:
         return self._ids(self.known, [first] if first else []) + self._ids(self.later, rest, led)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def worker_encoder(name: str) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+    return worker_memory(f"token ids {name}", lambda: Encoder(name))
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftledger.llm.common import fresh, mixed, strings, table
+from siftledger.llm.common import fresh, mixed, strings, table, worker_memory
 
 WINDOW = 8
 # Plain words a window needs, so that placeholders alone never match.
@@ -29,7 +29,7 @@ COVERED = 13
 BLOCK_WORDS = 1_000_000
 
 # Words a worker remembers at once; a forgotten word is read again.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 # Fixed values.
 UNITS = frozenset(
@@ -113,14 +113,9 @@ class Reader:
         return literal, np.where(kinds == WORD, literal, _HASHES[kinds]), kinds, place
 
 
-_shared_reader: Reader | None = None
-
-
 def worker_reader() -> Reader:
     """One reader for all tasks of a Python worker."""
-    global _shared_reader
-    _shared_reader = _shared_reader or Reader()
-    return _shared_reader
+    return worker_memory("templates", Reader)
 
 
 _HASHES = np.array([_hash(p) for p in PLACEHOLDERS], np.uint64)
