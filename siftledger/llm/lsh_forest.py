@@ -3,10 +3,12 @@
 Texts of one shingle set are one node. Each tree of the forest is an order of signature
 values: nodes sorted by it have their most similar ones next to them. In a first round
 every node is compared with its neighbours of the longest common prefix, as found over
-all trees. A region is the nodes that share a tree's first values; the second round
-compares the nodes of every region that the first round has left in different components,
-so no region's pairs are passed over. Regions with many such nodes are searched at a
-greater depth in more orders. All links are confirmed on whole shingle sets.
+all trees. A region is the nodes that share a tree's first values; the second round takes
+every region that the first has left in several components, and gathers nodes that look
+similar, over all regions, into clusters. Within a cluster all nodes of different
+components are compared, in blocks, so no region's pairs are passed over; what leaves a
+task is a spanning forest, never all pairs. Regions with many such nodes are searched at
+a greater depth in more orders. All links are confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -19,7 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftledger.llm.common import fresh, mixed, shuffle_partitions, strings, table
+from siftledger.llm.common import (
+    fresh,
+    mixed,
+    shuffle_partitions,
+    strings,
+    table,
+    worker_memory,
+)
 from siftledger.llm.graph import components
 from siftledger.session import materialise
 
@@ -35,13 +44,15 @@ DEPTHS = ((4, TREES), (8, VALUES), (12, VALUES))
 CROWDED = 2_000
 # Neighbours by common prefix that a node is compared with in the first round.
 NEIGHBOURS = 2
-# Share of equal signature values below which a pair is not confirmed: 4.5 standard
-# deviations under a similarity of 0.85.
+# Share of equal signature values below which a pair is not confirmed; a pair of
+# similarity 0.85 falls below with probability 3e-5.
 LIKELY = 0.65
+# Nodes of a cluster that one task compares with as many others.
+BLOCK = 500
 # Ids a broadcast may hold (20 MB); more are joined in a shuffle.
 MAX_BROADCAST = 1_000_000
 # Words a worker remembers at once; a forgotten word is hashed again.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 _draw = np.random.default_rng(20240101)
 _A = _draw.integers(1, 1 << 32, VALUES, np.uint32) | np.uint32(1)
@@ -57,16 +68,14 @@ class _Known(dict):
         return value
 
 
-_known = _Known()
-
-
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles: words in lower case A-Z."""
+    known = worker_memory("shingles", _Known)
     words = text.encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(_known.__getitem__, words), np.uint64, n)
+    codes = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     width = min(size, n)
     total = np.full(n - width + 1, width, np.uint64)
     for i in range(width):
@@ -182,7 +191,8 @@ def neighbours(nodes: DataFrame) -> DataFrame:
 
 
 def _likely_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per region (rows arrive sorted): pairs of different components that look similar."""
+    """Per region (rows arrive sorted): a spanning forest of the similar-looking nodes of
+    different components."""
     held: list[tuple] = []
     out_u: list[int] = []
     out_v: list[int] = []
@@ -222,19 +232,26 @@ def _compare(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
     rest = np.flatnonzero(root != roots[counts.argmax()])
     rank = np.full(len(node), len(node))
     rank[rest] = np.arange(len(rest))
+    joined = np.arange(len(node))
     for i in rest.tolist():
-        near = (root != root[i]) & (rank > rank[i])
-        near &= (100 * size >= PERCENT * size[i]) & (100 * size[i] >= PERCENT * size)
+        near = (root != root[i]) & (rank > rank[i]) & (joined != joined[i]) & _sizes_fit(size, size[i])
         at = np.flatnonzero(near)
         if len(at):
-            alike = (values[at] == values[i]).mean(axis=1) >= LIKELY
-            for j in at[alike].tolist():
-                out_u.append(int(node[i]))
-                out_v.append(int(node[j]))
+            at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
+        while len(at):
+            out_u.append(int(node[i]))
+            out_v.append(int(node[at[0]]))
+            joined[joined == joined[at[0]]] = joined[i]
+            at = at[joined[at] != joined[i]]
+
+
+def _sizes_fit(sizes: np.ndarray, size: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough."""
+    return (100 * sizes >= PERCENT * size) & (100 * size >= PERCENT * sizes)
 
 
 def remaining(nodes: DataFrame, found: DataFrame, level: int = 0) -> DataFrame:
-    """u, v: likely pairs of every region that still holds several components.
+    """u, v: spanning forests of the likely pairs of every region with several components.
 
     ``found``: node and root so far. A region in which more than CROWDED nodes would meet
     others is left to the next depth.
@@ -288,6 +305,83 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "u long, v long")
 
 
+def _exact(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per pair of blocks of a cluster (rows arrive sorted): links between components."""
+    held: list[tuple] = []
+    u: list[int] = []
+    v: list[int] = []
+    last = None
+    for part in parts:
+        for key, block, node, root, sig, hashes in zip(*(c.to_pylist() for c in part.columns)):
+            if key != last:
+                _link(held, last, u, v)
+                held, last = [], key
+            held.append((block, node, root, sig, np.frombuffer(hashes, np.uint64)))
+        if len(u) > 10_000:
+            yield _pairs(u, v)
+    _link(held, last, u, v)
+    yield _pairs(u, v)
+
+
+def _link(held: list[tuple], key: str | None, out_u: list[int], out_v: list[int]) -> None:
+    if len(held) < 2:
+        return
+    block = np.array([x[0] for x in held])
+    node = np.array([x[1] for x in held], np.int64)
+    _, joined = np.unique([x[2] for x in held], return_inverse=True)
+    values = np.frombuffer(b"".join(x[3] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
+    size = np.array([len(x[4]) for x in held])
+    ends = np.cumsum(size)
+    distinct, flat = np.unique(np.concatenate([x[4] for x in held]), return_inverse=True)
+    mark = np.zeros(len(distinct), bool)
+    across = len(np.unique(block)) > 1
+    for i in range(len(held)):
+        near = (joined[i + 1 :] != joined[i]) & _sizes_fit(size[i + 1 :], size[i])
+        if across:
+            near &= block[i + 1 :] != block[i]
+        at = np.flatnonzero(near) + i + 1
+        if len(at):
+            at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
+        if not len(at):
+            continue
+        mine = flat[ends[i] - size[i] : ends[i]]
+        mark[mine] = True
+        for j in at.tolist():
+            if joined[j] != joined[i]:
+                both = int(mark[flat[ends[j] - size[j] : ends[j]]].sum())
+                if 100 * both >= PERCENT * (size[i] + size[j] - both):
+                    joined[joined == joined[j]] = joined[i]
+                    out_u.append(int(node[i]))
+                    out_v.append(int(node[j]))
+        mark[mine] = False
+
+
+def cluster_links(likely: DataFrame, nodes: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v: confirmed links that connect the components within each likely cluster."""
+    members = components(likely).withColumnRenamed("root", "cluster")
+    blocks = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    placed = (
+        members.join(blocks, "cluster")
+        .withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "node",
+            "block",
+            F.concat_ws("-", "cluster", F.least("block", "other"), F.greatest("block", "other")).alias("key"),
+        )
+    )
+    return (
+        placed.join(nodes.select("node", "signature"), "node")
+        .join(found, "node", "left")
+        .join(sets, "node")
+        .select("key", "block", "node", F.coalesce("root", "node").alias("root"), "signature", "hashes")
+        .repartition("key")
+        .sortWithinPartitions("key", "node")
+        .mapInArrow(_exact, "u long, v long")
+    )
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, root and component_id of every row of ``docs``."""
     texts = docs.select(
@@ -389,7 +483,8 @@ def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = materialise(sets, "shingle-sets")
     links = materialise(confirmed(neighbours(wanted), sets), "links")
     found = components(links)
-    more = confirmed(remaining(wanted.drop("least_id", "key"), found), sets)
+    likely = remaining(wanted.drop("least_id", "key"), found)
+    more = cluster_links(likely, wanted, found, sets)
     return components(links.unionByName(more))
 
 
