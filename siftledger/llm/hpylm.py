@@ -30,7 +30,7 @@ from siftledger.llm.common import mixed, shuffle_partitions, strings, table
 from siftledger.session import materialise
 
 # Tokens of a chunk, at most; longer texts go on in the next chunk.
-CHUNK = 2_500_000
+CHUNK = 1_250_000
 # Gibbs sweeps, and how many of the last are averaged.
 SWEEPS, KEPT = 3, 2
 # Concentration of context restaurants and of the shared parent.
@@ -205,14 +205,16 @@ def _slices(sorted_keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], inner, [len(sorted_keys)]]).astype(np.int64)
 
 
-def _chunked(buckets: int) -> Callable:
+def _chunked(buckets: int, answer: Callable) -> Callable:
+    """Cut texts into chunks and send what ``answer`` makes of each; names do not depend on it."""
+
     def messages(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         task, row, number, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def close():
             nonlocal held, size, number
             if held:
-                yield from _of_chunk(Chunk.of(held), (task << 24) + number, buckets)
+                yield from answer(Chunk.of(held), (task << 24) + number, buckets)
                 held, size, number = [], 0, number + 1
 
         for part in parts:
@@ -230,9 +232,13 @@ def _chunked(buckets: int) -> Callable:
     return lambda parts: _sent(messages(parts), 64)
 
 
-def _of_chunk(chunk: Chunk, name: int, buckets: int) -> Iterator[tuple]:
-    """The chunk's state to itself, its words and bigrams with counts to the buckets."""
+def _state(chunk: Chunk, name: int, buckets: int) -> Iterator[tuple]:
+    """The chunk's state to itself."""
     yield name, "state", name, chunk.state()
+
+
+def _entries(chunk: Chunk, name: int, buckets: int) -> Iterator[tuple]:
+    """The chunk's words and bigrams with counts to the buckets."""
     counts = chunk.word_counts()
     at = _slices(chunk.words, buckets)
     for b in range(buckets):
@@ -543,16 +549,18 @@ def scores(docs: DataFrame, sweeps: int = SWEEPS, kept: int = KEPT) -> DataFrame
     Documents with crc32(doc_id as text) mod 10 = 0 are held out of training; a NULL id is
     learned. A NULL or empty text is its end alone. Words that training lacks share the
     uniform base's one unknown type each. Repeated rows are learned and scored one by one;
-    other columns are not read. An empty table gives an empty result.
+    other columns are not read. An empty table gives an empty result. ``docs`` is read
+    twice and must have the same rows in the same partitions, as a stored table has.
     """
     spark = docs.sparkSession
     buckets = 2 * shuffle_partitions(spark)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    first = materialise(texts.mapInArrow(_chunked(buckets), _SQL_MESSAGE), "chunks")
-    # Chunks are numbered from 0; their number 0 is told from tallies by the kind.
-    counted = exchanged(first.where("to < 0"), _count, "counts")
+    # The entries are not stored on their way to the buckets; chunks are cut once more for
+    # their state, which takes less disk than keeping both.
+    entries = texts.mapInArrow(_chunked(buckets, _entries), _SQL_MESSAGE)
+    counted = exchanged(entries, _count, "counts")
     empty = counted.isEmpty()
-    state = first.where("kind = 'state'")
+    state = materialise(texts.mapInArrow(_chunked(buckets, _state), _SQL_MESSAGE), "chunks")
     to_chunks = counted.where("kind in ('words', 'pairs')")
     if empty:
         names = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long"
