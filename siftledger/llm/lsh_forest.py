@@ -5,10 +5,10 @@ values: nodes sorted by it have their most similar ones next to them. In a first
 every node is compared with its neighbours of the longest common prefix, as found over
 all trees. A region is the nodes that share a tree's first values; the second round takes
 every region that the first has left in several components, and gathers nodes that look
-similar, over all regions, into clusters. Within a cluster all nodes of different
-components are compared, in blocks, so no region's pairs are passed over; what leaves a
-task is a spanning forest, never all pairs. Regions with many such nodes are searched at
-a greater depth in more orders. All links are confirmed on whole shingle sets.
+similar, over all regions, into clusters. Within a region and within a cluster all nodes
+of different components are compared, in pairs of bounded blocks, so no region's pairs
+are passed over and no task holds a whole region; what leaves a task is a spanning forest,
+never all pairs. All links are confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -37,10 +37,10 @@ SHINGLE = 5
 PERCENT = 85
 VALUES = 64
 TREES = 16
-# Signature values that nodes of a region share; deeper for crowded regions. Missing a
-# pair of similarity 0.85 in all orders: 7e-6 at depth 4 in 16 orders, 2e-9 at depth 8
-# in 64 and 6e-5 at depth 12 in 64.
-DEPTHS = ((4, TREES), (8, VALUES), (12, VALUES))
+# Signature values that nodes of a region share. The orders begin at values of their own, so
+# a pair of similarity 0.85 shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6.
+DEPTH = 4
+# Nodes of a region that one task compares with as many others.
 CROWDED = 2_000
 # Neighbours by common prefix that a node is compared with in the first round.
 NEIGHBOURS = 2
@@ -151,7 +151,7 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     than shares, and they are broadcast.
     """
     spark = nodes.sparkSession
-    depth = DEPTHS[0][0]
+    depth = DEPTH
     spread = regions(nodes.select("node", "signature"), depth, TREES).select(
         "node", "tree", "region", _prefix(f"tree * {4 * VALUES // TREES}", 2 * depth).alias("order")
     )
@@ -190,9 +190,49 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     )
 
 
+def paired(members: DataFrame, groups: list[str], block: int) -> DataFrame:
+    """``members`` (with ``groups``, node and root) once per task: part, rest, member, asks.
+
+    Groups of one component are left out. The nodes of a group outside its largest
+    component (``rest``) ask all its members: about ``block`` of them ask about ``block``
+    members in a part, and each node is in the parts of its own members' block and, if it
+    asks, of its own block of askers. Of two nodes that both ask, the lesser one does.
+    """
+    sizes = (
+        members.groupBy(*groups, "root")
+        .agg(F.count("*").alias("_n"))
+        .groupBy(*groups)
+        .agg(
+            F.sum("_n").alias("_all"),
+            F.max("_n").alias("_most"),
+            F.max_by("root", F.struct("_n", "root")).alias("_top"),
+        )
+        .where("_all > _most")
+    )
+    parts = """
+        array_distinct(concat(
+            transform(sequence(0L, _askers - 1), x -> struct(_mine AS block, x AS askers)),
+            if(rest, transform(sequence(0L, _blocks - 1), x -> struct(x AS block, _of AS askers)), array())
+        ))
+    """
+    return (
+        members.join(sizes, groups)
+        .withColumn("rest", F.col("root") != F.col("_top"))
+        .withColumn("_blocks", F.ceil(F.col("_all") / block))
+        .withColumn("_askers", F.ceil((F.col("_all") - F.col("_most")) / block))
+        .withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+        .withColumn("_of", F.pmod(F.xxhash64("node", F.lit("askers")), F.col("_askers")))
+        .withColumn("part", F.explode(F.expr(parts)))
+        .withColumn("member", F.col("part.block") == F.col("_mine"))
+        .withColumn("asks", F.col("rest") & (F.col("part.askers") == F.col("_of")))
+        .withColumn("part", F.concat_ws("-", "part.block", "part.askers"))
+        .drop("_all", "_most", "_top", "_blocks", "_askers", "_mine", "_of")
+    )
+
+
 def _likely_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per region (rows arrive sorted): a spanning forest of the similar-looking nodes of
-    different components."""
+    """Per part of a region (rows arrive sorted): a spanning forest of the similar-looking
+    nodes of different components."""
     held: list[tuple] = []
     out_u: list[int] = []
     out_v: list[int] = []
@@ -203,12 +243,12 @@ def _likely_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     last = None
-    for part in parts:
-        for tree, region, node, root, n, sig in zip(*(c.to_pylist() for c in part.columns)):
-            if (tree, region) != last:
+    for batch in parts:
+        for tree, region, part, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (tree, region, part) != last:
                 close()
-                last = (tree, region)
-            held.append((node, root, n, sig))
+                last = (tree, region, part)
+            held.append(row)
         if len(out_u) > 10_000:
             yield _pairs(out_u, out_v)
     close()
@@ -223,19 +263,13 @@ def _pairs(u: list[int], v: list[int]) -> pa.RecordBatch:
 
 
 def _compare(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
-    node = np.array([x[0] for x in held], np.int64)
-    root = np.array([x[1] for x in held], np.int64)
-    size = np.array([x[2] for x in held], np.int64)
-    values = np.frombuffer(b"".join(x[3] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
-    # Members of the largest component are compared with the others, not with each other.
-    roots, counts = np.unique(root, return_counts=True)
-    rest = np.flatnonzero(root != roots[counts.argmax()])
-    rank = np.full(len(node), len(node))
-    rank[rest] = np.arange(len(rest))
+    node, root, size = (np.array(x, np.int64) for x in list(zip(*held))[:3])
+    rest, member, asks = (np.array(x, bool) for x in list(zip(*held))[3:6])
+    values = np.frombuffer(b"".join(x[6] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
     joined = np.arange(len(node))
-    for i in rest.tolist():
-        near = (root != root[i]) & (rank > rank[i]) & (joined != joined[i]) & _sizes_fit(size, size[i])
-        at = np.flatnonzero(near)
+    for i in np.flatnonzero(asks).tolist():
+        near = _asked(i, node, rest, member) & (root != root[i]) & (joined != joined[i])
+        at = np.flatnonzero(near & _sizes_fit(size, size[i]))
         if len(at):
             at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
         while len(at):
@@ -245,43 +279,33 @@ def _compare(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
             at = at[joined[at] != joined[i]]
 
 
+def _asked(i: int, node: np.ndarray, rest: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """Whom node ``i`` asks in its part: members of the largest component, and greater ones."""
+    return member & (~rest | (node > node[i]))
+
+
 def _sizes_fit(sizes: np.ndarray, size: int) -> np.ndarray:
     """Whether sets of these sizes can be similar enough."""
     return (100 * sizes >= PERCENT * size) & (100 * size >= PERCENT * sizes)
 
 
-def remaining(nodes: DataFrame, found: DataFrame, level: int = 0) -> DataFrame:
+def remaining(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """u, v: spanning forests of the likely pairs of every region with several components.
 
-    ``found``: node and root so far. A region in which more than CROWDED nodes would meet
-    others is left to the next depth.
+    ``found``: node and root so far.
     """
-    depth, orders = DEPTHS[level]
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = regions(rooted, depth, orders).select("tree", "region", "node", "root")
-    open_ = (
-        placed.groupBy("tree", "region")
-        .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-        .where("a < b")
-        .select("tree", "region", "n")
-    )
-    members = materialise(placed.join(open_, ["tree", "region"]), "open-regions")
-    last = level + 1 == len(DEPTHS)
-    now = members if last else members.where(F.col("n") <= CROWDED)
-    pairs = (
-        now.join(nodes, "node")
-        .select("tree", "region", "node", "root", "n_shingles", "signature")
-        .repartition("tree", "region")
-        .sortWithinPartitions("tree", "region", "node")
+    placed = regions(rooted, DEPTH, TREES).select("tree", "region", "node", "root")
+    members = materialise(paired(placed, ["tree", "region"], CROWDED), "open-regions")
+    return (
+        members.join(nodes, "node")
+        .select(
+            "tree", "region", "part", "node", "root", "n_shingles", "rest", "member", "asks", "signature"
+        )
+        .repartition("tree", "region", "part")
+        .sortWithinPartitions("tree", "region", "part", "node")
         .mapInArrow(_likely_pairs, "u long, v long")
     )
-    if last:
-        return pairs
-    crowded = members.where(F.col("n") > CROWDED).select("node").distinct()
-    crowded = materialise(nodes.join(crowded, "node", "left_semi"), "crowded")
-    if crowded.isEmpty():
-        return pairs
-    return pairs.unionByName(remaining(crowded, found, level + 1))
 
 
 def _confirm(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,40 +330,37 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _exact(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per pair of blocks of a cluster (rows arrive sorted): links between components."""
+    """Per part of a cluster (rows arrive sorted): links between components."""
     held: list[tuple] = []
     u: list[int] = []
     v: list[int] = []
     last = None
-    for part in parts:
-        for key, block, node, root, sig, hashes in zip(*(c.to_pylist() for c in part.columns)):
-            if key != last:
-                _link(held, last, u, v)
-                held, last = [], key
-            held.append((block, node, root, sig, np.frombuffer(hashes, np.uint64)))
+    for batch in parts:
+        for cluster, part, *row, hashes in zip(*(c.to_pylist() for c in batch.columns)):
+            if (cluster, part) != last:
+                _link(held, u, v)
+                held, last = [], (cluster, part)
+            held.append((*row, np.frombuffer(hashes, np.uint64)))
         if len(u) > 10_000:
             yield _pairs(u, v)
-    _link(held, last, u, v)
+    _link(held, u, v)
     yield _pairs(u, v)
 
 
-def _link(held: list[tuple], key: str | None, out_u: list[int], out_v: list[int]) -> None:
+def _link(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
     if len(held) < 2:
         return
-    block = np.array([x[0] for x in held])
-    node = np.array([x[1] for x in held], np.int64)
-    _, joined = np.unique([x[2] for x in held], return_inverse=True)
-    values = np.frombuffer(b"".join(x[3] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
-    size = np.array([len(x[4]) for x in held])
+    node = np.array([x[0] for x in held], np.int64)
+    _, joined = np.unique([x[1] for x in held], return_inverse=True)
+    rest, member, asks = (np.array(x, bool) for x in list(zip(*held))[2:5])
+    values = np.frombuffer(b"".join(x[5] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
+    size = np.array([len(x[6]) for x in held])
     ends = np.cumsum(size)
-    distinct, flat = np.unique(np.concatenate([x[4] for x in held]), return_inverse=True)
+    distinct, flat = np.unique(np.concatenate([x[6] for x in held]), return_inverse=True)
     mark = np.zeros(len(distinct), bool)
-    across = len(np.unique(block)) > 1
-    for i in range(len(held)):
-        near = (joined[i + 1 :] != joined[i]) & _sizes_fit(size[i + 1 :], size[i])
-        if across:
-            near &= block[i + 1 :] != block[i]
-        at = np.flatnonzero(near) + i + 1
+    for i in np.flatnonzero(asks).tolist():
+        near = _asked(i, node, rest, member) & (joined != joined[i]) & _sizes_fit(size, size[i])
+        at = np.flatnonzero(near)
         if len(at):
             at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
         if not len(at):
@@ -358,26 +379,19 @@ def _link(held: list[tuple], key: str | None, out_u: list[int], out_v: list[int]
 
 def cluster_links(likely: DataFrame, nodes: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
     """u, v: confirmed links that connect the components within each likely cluster."""
-    members = components(likely).withColumnRenamed("root", "cluster")
-    blocks = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = (
-        members.join(blocks, "cluster")
-        .withColumn("block", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "node",
-            "block",
-            F.concat_ws("-", "cluster", F.least("block", "other"), F.greatest("block", "other")).alias("key"),
-        )
+    members = (
+        components(likely)
+        .withColumnRenamed("root", "cluster")
+        .join(found, "node", "left")
+        .select("cluster", "node", F.coalesce("root", "node").alias("root"))
     )
     return (
-        placed.join(nodes.select("node", "signature"), "node")
-        .join(found, "node", "left")
+        paired(members, ["cluster"], BLOCK)
+        .join(nodes.select("node", "signature"), "node")
         .join(sets, "node")
-        .select("key", "block", "node", F.coalesce("root", "node").alias("root"), "signature", "hashes")
-        .repartition("key")
-        .sortWithinPartitions("key", "node")
+        .select("cluster", "part", "node", "root", "rest", "member", "asks", "signature", "hashes")
+        .repartition("cluster", "part")
+        .sortWithinPartitions("cluster", "part", "node")
         .mapInArrow(_exact, "u long, v long")
     )
 
@@ -459,8 +473,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and root of every node with a confirmed link."""
-    depth, orders = DEPTHS[0]
-    placed = regions(nodes.select("node", "signature"), depth, orders).select("node", "tree", "region")
+    placed = regions(nodes.select("node", "signature"), DEPTH, TREES).select("node", "tree", "region")
     shared = placed.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     wanted = placed.join(shared.drop("n"), ["tree", "region"], "left_semi").select("node").distinct()
     wanted = materialise(nodes.join(wanted, "node", "left_semi"), "wanted")

@@ -109,3 +109,25 @@ def test_components(spark, seed):
     found = graph.components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {(r["node"], r["root"]) for r in found} == {(x, root(x)) for x in linked}
     assert len(found) == len(linked)
+
+
+def changed(words, *places):
+    words = list(words)
+    for i in places:
+        words[i] = f"{words[i]}x{i}"
+    return words
+
+
+def test_crowded_regions_lose_no_link(documents, monkeypatch):
+    """Two groups of close copies, linked by one pair of similarity 0.858 alone."""
+    draw = random.Random(5)
+    texts = []
+    for family in range(60):
+        a = [f"f{family}w{draw.randint(0, 99999)}" for _ in range(200)]
+        b = changed(a, 30, 90, 150)
+        for words in (a, b):
+            texts += [words] + [changed(words, i) for i in draw.sample(range(40, 80), 4)]
+    rows = list(enumerate((" ".join(x) for x in texts), start=1))
+    monkeypatch.setattr(lsh_forest, "CROWDED", 2)
+    found = lsh_forest.near_duplicates(documents(*rows)).collect()
+    assert sorted(str(tuple(r)) for r in found) == brute(rows)
