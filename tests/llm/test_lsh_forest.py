@@ -131,3 +131,24 @@ def test_crowded_regions_lose_no_link(documents, monkeypatch):
     monkeypatch.setattr(lsh_forest, "CROWDED", 2)
     found = lsh_forest.near_duplicates(documents(*rows)).collect()
     assert sorted(str(tuple(r)) for r in found) == brute(rows)
+
+
+def test_parts_are_bounded_and_hold_every_pair(spark):
+    """A region of one large component and many others: each pair is compared once."""
+    roots = [0] * 300 + [1] * 40 + list(range(1000, 1060))
+    rows = [(0, i, r) for i, r in enumerate(roots)] + [(1, i, 7) for i in range(50)]
+    members = spark.createDataFrame(rows, "g long, node long, root long")
+    parts = {}
+    for r in lsh_forest.paired(members, ["g"], 20).collect():
+        parts.setdefault((r["g"], r["part"]), []).append(r)
+    assert {g for g, _ in parts} == {0}
+    assert max(map(len, parts.values())) <= 4 * 20
+    seen = [
+        tuple(sorted((a["node"], b["node"])))
+        for held in parts.values()
+        for a in held
+        for b in held
+        if a["asks"] and b["member"] and a["root"] != b["root"] and (not b["rest"] or b["node"] > a["node"])
+    ]
+    wanted = {(i, j) for j in range(len(roots)) for i in range(j) if roots[i] != roots[j]}
+    assert len(seen) == len(set(seen)) and set(seen) == wanted
