@@ -16,6 +16,10 @@ from siftledger.llm.common import fresh, table
 from siftledger.session import materialise
 
 
+# Percent of their shingles that documents of one near-duplicate group share with another.
+NEAR = 80
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier scores 0.5 or more.
 
@@ -42,7 +46,7 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest doc_id of each group, and every document without a group."""
-    return lsh_forest.one_of_each(docs)
+    return lsh_forest.one_of_each(docs, NEAR)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,10 @@ never all pairs. All links are confirmed on whole shingle sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,20 +36,18 @@ from siftledger.llm.graph import components
 from siftledger.session import materialise
 
 SHINGLE = 5
-# Linked: 100 * intersection >= PERCENT * union.
+# Linked: 100 * intersection >= percent * union. This is the least of query op3.
 PERCENT = 85
-VALUES = 64
-TREES = 16
-# Signature values that nodes of a region share. The orders begin at values of their own, so
-# a pair of similarity 0.85 shares no region with probability (1 - 0.85 ** 4) ** 16 = 7e-6.
+# Signature values that nodes of a region share.
 DEPTH = 4
+# Probability that a pair of exactly the least similarity shares no region, and that it
+# looks too dissimilar by its signature.
+MISSED = 1e-5
+UNLIKE = 4e-5
 # Nodes of a region that one task compares with as many others.
 CROWDED = 2_000
 # Neighbours by common prefix that a node is compared with in the first round.
 NEIGHBOURS = 2
-# Share of equal signature values below which a pair is not confirmed; a pair of
-# similarity 0.85 falls below with probability 3e-5.
-LIKELY = 0.65
 # Nodes of a cluster that one task compares with as many others.
 BLOCK = 500
 # Ids a broadcast may hold (20 MB); more are joined in a shuffle.
@@ -54,9 +55,39 @@ MAX_BROADCAST = 1_000_000
 # Words a worker remembers at once; a forgotten word is hashed again.
 REMEMBERED = 300_000
 
-_draw = np.random.default_rng(20240101)
-_A = _draw.integers(1, 1 << 32, VALUES, np.uint32) | np.uint32(1)
-_B = _draw.integers(0, 1 << 32, VALUES, np.uint32)
+
+class Limits(NamedTuple):
+    """What follows from the least similarity: orders, signature values, equal values."""
+
+    percent: int
+    trees: int
+    values: int
+    likely: int
+
+
+def limits(percent: int) -> Limits:
+    """Enough orders of DEPTH separate values, and the equal values that a pair must have."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    s = min(percent, 99) / 100
+    trees = math.ceil(math.log(MISSED) / math.log1p(-(s**DEPTH)))
+    values = trees * DEPTH
+    below, likely = 0.0, 0
+    while True:
+        logs = math.lgamma(values + 1) - math.lgamma(likely + 1) - math.lgamma(values - likely + 1)
+        below += math.exp(logs + likely * math.log(s) + (values - likely) * math.log1p(-s))
+        if below > UNLIKE:
+            return Limits(percent, trees, values, likely)
+        likely += 1
+
+
+@lru_cache
+def _drawn(values: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(20240101)
+    odd = draw.integers(1, 1 << 32, values, np.uint32) | np.uint32(1)
+    return odd, draw.integers(0, 1 << 32, values, np.uint32)
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,12 +114,13 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    """Least values under VALUES hash functions, as big-endian bytes (which sort alike)."""
+def signature(hashes: np.ndarray, values: int) -> bytes:
+    """Least values under ``values`` hash functions, as big-endian bytes (which sort alike)."""
+    a, b = _drawn(values)
     x = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(VALUES, 0xFFFFFFFF, np.uint32)
+    least = np.full(values, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 2048):
-        least = np.minimum(least, (x[at : at + 2048, None] * _A + _B).min(axis=0))
+        least = np.minimum(least, (x[at : at + 2048, None] * a + b).min(axis=0))
     return least.astype(">u4").tobytes()
 
 
@@ -100,14 +132,14 @@ def _key(hashes: np.ndarray) -> bytes:
 _SIGNED = "doc_id long, text_hash long, n_shingles long, key binary, signature binary"
 
 
-def _sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(parts: Iterator[pa.RecordBatch], values: int) -> Iterator[pa.RecordBatch]:
     for part in parts:
         sizes, keys, signatures = [], [], []
         for text in strings(part.column(1)):
             found = shingles(text)
             sizes.append(len(found))
             keys.append(_key(found))
-            signatures.append(signature(found) if len(found) else None)
+            signatures.append(signature(found, values) if len(found) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
@@ -137,13 +169,13 @@ def _prefix(order: str, depth: int):
     return F.expr(f"substring(concat(signature, signature), {order} + 1, {4 * depth})")
 
 
-def regions(nodes: DataFrame, depth: int, orders: int) -> DataFrame:
+def regions(nodes: DataFrame, least: Limits) -> DataFrame:
     """``nodes`` once per order, with the order's number and their prefix."""
-    numbered = nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))))
-    return numbered.withColumn("region", _prefix(f"tree * {4 * VALUES // orders}", depth))
+    numbered = nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(least.trees - 1))))
+    return numbered.withColumn("region", _prefix(f"tree * {4 * DEPTH}", DEPTH))
 
 
-def neighbours(nodes: DataFrame) -> DataFrame:
+def neighbours(nodes: DataFrame, least: Limits) -> DataFrame:
     """u, v: each node and those before it in the trees that share its longest prefixes.
 
     A region with more rows than a task's share is cut at a greater depth, and by a hash
@@ -151,12 +183,11 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     than shares, and they are broadcast.
     """
     spark = nodes.sparkSession
-    depth = DEPTH
-    spread = regions(nodes.select("node", "signature"), depth, TREES).select(
-        "node", "tree", "region", _prefix(f"tree * {4 * VALUES // TREES}", 2 * depth).alias("order")
+    spread = regions(nodes.select("node", "signature"), least).select(
+        "node", "tree", "region", _prefix(f"tree * {4 * DEPTH}", 2 * DEPTH).alias("order")
     )
     shares = 4 * shuffle_partitions(spark)
-    rows = nodes.count() * TREES
+    rows = nodes.count() * least.trees
     hot = (
         spread.groupBy("tree", "region")
         .count()
@@ -175,7 +206,7 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     )
     shared = sum(
         (F.substring("order", 1, 4 * k) == F.substring("theirs", 1, 4 * k)).cast("int")
-        for k in range(depth, 2 * depth + 1)
+        for k in range(DEPTH, 2 * DEPTH + 1)
     )
     pairs = (
         before.where("other is not null")
@@ -230,7 +261,7 @@ def paired(members: DataFrame, groups: list[str], block: int) -> DataFrame:
     )
 
 
-def _likely_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely_pairs(parts: Iterator[pa.RecordBatch], least: Limits) -> Iterator[pa.RecordBatch]:
     """Per part of a region (rows arrive sorted): a spanning forest of the similar-looking
     nodes of different components."""
     held: list[tuple] = []
@@ -239,7 +270,7 @@ def _likely_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close():
         if len(held) > 1:
-            _compare(held, out_u, out_v)
+            _compare(held, least, out_u, out_v)
         held.clear()
 
     last = None
@@ -262,16 +293,16 @@ def _pairs(u: list[int], v: list[int]) -> pa.RecordBatch:
     return made
 
 
-def _compare(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
+def _compare(held: list[tuple], least: Limits, out_u: list[int], out_v: list[int]) -> None:
     node, root, size = (np.array(x, np.int64) for x in list(zip(*held))[:3])
     rest, member, asks = (np.array(x, bool) for x in list(zip(*held))[3:6])
-    values = np.frombuffer(b"".join(x[6] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
+    values = np.frombuffer(b"".join(x[6] for x in held), ">u4").reshape(-1, least.values).astype(np.uint32)
     joined = np.arange(len(node))
     for i in np.flatnonzero(asks).tolist():
         near = _asked(i, node, rest, member) & (root != root[i]) & (joined != joined[i])
-        at = np.flatnonzero(near & _sizes_fit(size, size[i]))
+        at = np.flatnonzero(near & _sizes_fit(size, size[i], least.percent))
         if len(at):
-            at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
+            at = at[(values[at] == values[i]).sum(axis=1) >= least.likely]
         while len(at):
             out_u.append(int(node[i]))
             out_v.append(int(node[at[0]]))
@@ -284,18 +315,18 @@ def _asked(i: int, node: np.ndarray, rest: np.ndarray, member: np.ndarray) -> np
     return member & (~rest | (node > node[i]))
 
 
-def _sizes_fit(sizes: np.ndarray, size: int) -> np.ndarray:
+def _sizes_fit(sizes: np.ndarray, size: int, percent: int) -> np.ndarray:
     """Whether sets of these sizes can be similar enough."""
-    return (100 * sizes >= PERCENT * size) & (100 * size >= PERCENT * sizes)
+    return (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
 
 
-def remaining(nodes: DataFrame, found: DataFrame) -> DataFrame:
+def remaining(nodes: DataFrame, found: DataFrame, least: Limits) -> DataFrame:
     """u, v: spanning forests of the likely pairs of every region with several components.
 
     ``found``: node and root so far.
     """
     rooted = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = regions(rooted, DEPTH, TREES).select("tree", "region", "node", "root")
+    placed = regions(rooted, least).select("tree", "region", "node", "root")
     members = materialise(paired(placed, ["tree", "region"], CROWDED), "open-regions")
     return (
         members.join(nodes, "node")
@@ -304,32 +335,32 @@ def remaining(nodes: DataFrame, found: DataFrame) -> DataFrame:
         )
         .repartition("tree", "region", "part")
         .sortWithinPartitions("tree", "region", "part", "node")
-        .mapInArrow(_likely_pairs, "u long, v long")
+        .mapInArrow(lambda parts: _likely_pairs(parts, least), "u long, v long")
     )
 
 
-def _confirm(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for part in parts:
         u, v = [], []
         for a, b, x, y in zip(*(c.to_pylist() for c in part.columns)):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            if 100 * both >= percent * (len(x) + len(y) - both):
                 u.append(a)
                 v.append(b)
         yield _pairs(u, v)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole shingle sets are similar enough."""
     pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     mine = sets.select(F.col("node").alias("u"), F.col("hashes").alias("mine"))
     theirs = sets.select(F.col("node").alias("v"), F.col("hashes").alias("theirs"))
     both = pairs.join(mine, "u").join(theirs, "v").select("u", "v", "mine", "theirs")
-    return both.mapInArrow(_confirm, "u long, v long")
+    return both.mapInArrow(lambda parts: _confirm(parts, percent), "u long, v long")
 
 
-def _exact(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _exact(parts: Iterator[pa.RecordBatch], least: Limits) -> Iterator[pa.RecordBatch]:
     """Per part of a cluster (rows arrive sorted): links between components."""
     held: list[tuple] = []
     u: list[int] = []
@@ -338,31 +369,31 @@ def _exact(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in parts:
         for cluster, part, *row, hashes in zip(*(c.to_pylist() for c in batch.columns)):
             if (cluster, part) != last:
-                _link(held, u, v)
+                _link(held, least, u, v)
                 held, last = [], (cluster, part)
             held.append((*row, np.frombuffer(hashes, np.uint64)))
         if len(u) > 10_000:
             yield _pairs(u, v)
-    _link(held, u, v)
+    _link(held, least, u, v)
     yield _pairs(u, v)
 
 
-def _link(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
+def _link(held: list[tuple], least: Limits, out_u: list[int], out_v: list[int]) -> None:
     if len(held) < 2:
         return
     node = np.array([x[0] for x in held], np.int64)
     _, joined = np.unique([x[1] for x in held], return_inverse=True)
     rest, member, asks = (np.array(x, bool) for x in list(zip(*held))[2:5])
-    values = np.frombuffer(b"".join(x[5] for x in held), ">u4").reshape(-1, VALUES).astype(np.uint32)
+    values = np.frombuffer(b"".join(x[5] for x in held), ">u4").reshape(-1, least.values).astype(np.uint32)
     size = np.array([len(x[6]) for x in held])
     ends = np.cumsum(size)
     distinct, flat = np.unique(np.concatenate([x[6] for x in held]), return_inverse=True)
     mark = np.zeros(len(distinct), bool)
     for i in np.flatnonzero(asks).tolist():
-        near = _asked(i, node, rest, member) & (joined != joined[i]) & _sizes_fit(size, size[i])
+        near = _asked(i, node, rest, member) & (joined != joined[i]) & _sizes_fit(size, size[i], least.percent)
         at = np.flatnonzero(near)
         if len(at):
-            at = at[(values[at] == values[i]).mean(axis=1) >= LIKELY]
+            at = at[(values[at] == values[i]).sum(axis=1) >= least.likely]
         if not len(at):
             continue
         mine = flat[ends[i] - size[i] : ends[i]]
@@ -370,14 +401,16 @@ def _link(held: list[tuple], out_u: list[int], out_v: list[int]) -> None:
         for j in at.tolist():
             if joined[j] != joined[i]:
                 both = int(mark[flat[ends[j] - size[j] : ends[j]]].sum())
-                if 100 * both >= PERCENT * (size[i] + size[j] - both):
+                if 100 * both >= least.percent * (size[i] + size[j] - both):
                     joined[joined == joined[j]] = joined[i]
                     out_u.append(int(node[i]))
                     out_v.append(int(node[j]))
         mark[mine] = False
 
 
-def cluster_links(likely: DataFrame, nodes: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+def cluster_links(
+    likely: DataFrame, nodes: DataFrame, found: DataFrame, sets: DataFrame, least: Limits
+) -> DataFrame:
     """u, v: confirmed links that connect the components within each likely cluster."""
     members = (
         components(likely)
@@ -392,16 +425,17 @@ def cluster_links(likely: DataFrame, nodes: DataFrame, found: DataFrame, sets: D
         .select("cluster", "part", "node", "root", "rest", "member", "asks", "signature", "hashes")
         .repartition("cluster", "part")
         .sortWithinPartitions("cluster", "part", "node")
-        .mapInArrow(_exact, "u long, v long")
+        .mapInArrow(lambda parts: _exact(parts, least), "u long, v long")
     )
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, root and component_id of every row of ``docs``."""
+    least = limits(percent)
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")
     )
-    signed = materialise(texts.mapInArrow(_sign, _SIGNED), "signatures")
+    signed = materialise(texts.mapInArrow(lambda parts: _sign(parts, least.values), _SIGNED), "signatures")
     nodes = (
         signed.where("n_shingles > 0")
         .groupBy("key")
@@ -413,16 +447,18 @@ def _grouped(docs: DataFrame) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = materialise(nodes, "nodes")
-    rooted = _linked(texts, nodes)
+    rooted = _linked(texts, nodes, least)
     named = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_key = named.join(least, "root").select("key", "root", "component_id")
+    ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of_key = named.join(ids, "root").select("key", "root", "component_id")
     return signed.drop("signature").join(of_key, "key", "left").drop("key")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
 
+    Linked are texts whose shingle sets have ``percent`` of their union in common.
+
     component_id is the smallest doc_id that links lead to, its own included; NULL ids are
     passed over, and a component of NULL ids has none. ``kept`` is doc_id = component_id,
     false for NULL; rows that repeat a kept doc_id are all kept. A NULL or empty text, or
@@ -431,20 +467,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
-        _grouped(docs)
+        _grouped(docs, percent)
         .select("doc_id", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without shingles, and one row of each component of the others.
 
     That is the row of the smallest doc_id (NULL last), then of the smallest text hash; of
     rows that agree in doc_id and text any one.
     """
     (hashed,) = fresh(docs, "_text_hash")
-    grouped = materialise(_grouped(docs).where("n_shingles > 0"), "groups")
+    grouped = materialise(_grouped(docs, percent).where("n_shingles > 0"), "groups")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = grouped.groupBy("root").agg(F.min(first).alias("first"))
     gone = (
@@ -471,9 +507,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return left.drop(hashed)
 
 
-def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def _linked(texts: DataFrame, nodes: DataFrame, least: Limits) -> DataFrame:
     """node and root of every node with a confirmed link."""
-    placed = regions(nodes.select("node", "signature"), DEPTH, TREES).select("node", "tree", "region")
+    placed = regions(nodes.select("node", "signature"), least).select("node", "tree", "region")
     shared = placed.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     wanted = placed.join(shared.drop("n"), ["tree", "region"], "left_semi").select("node").distinct()
     wanted = materialise(nodes.join(wanted, "node", "left_semi"), "wanted")
@@ -494,12 +530,12 @@ def _linked(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         .agg(F.max("hashes").alias("hashes"))
     )
     sets = materialise(sets, "shingle-sets")
-    links = materialise(confirmed(neighbours(wanted), sets), "links")
+    links = materialise(confirmed(neighbours(wanted, least), sets, least.percent), "links")
     found = components(links)
-    likely = remaining(wanted.drop("least_id", "key"), found)
-    more = cluster_links(likely, wanted, found, sets)
+    likely = remaining(wanted.drop("least_id", "key"), found, least)
+    more = cluster_links(likely, wanted, found, sets, least)
     return components(links.unionByName(more))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents"), PERCENT)

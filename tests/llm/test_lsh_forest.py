@@ -18,7 +18,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [shingle_set(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -30,7 +30,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     least = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -152,3 +152,25 @@ def test_parts_are_bounded_and_hold_every_pair(spark):
     ]
     wanted = {(i, j) for j in range(len(roots)) for i in range(j) if roots[i] != roots[j]}
     assert len(seen) == len(set(seen)) and set(seen) == wanted
+
+
+def test_limits_follow_the_least_similarity():
+    assert lsh_forest.limits(85) == (85, 16, 64, 42)
+    assert lsh_forest.limits(80).values == 4 * lsh_forest.limits(80).trees == 88
+    for percent in (60, 80, 95, 100):
+        assert (1 - (percent / 100) ** 4) ** lsh_forest.limits(percent).trees <= 1e-5
+    with pytest.raises(ValueError):
+        lsh_forest.limits(0)
+
+
+def test_pairs_between_80_and_85_percent(documents):
+    draw = random.Random(6)
+    texts = []
+    for _ in range(40):
+        a = [f"w{draw.randint(0, 9999)}" for _ in range(200)]
+        texts += [a, changed(a, 20, 60, 100, 150)]
+    docs = documents(*(rows := list(enumerate((" ".join(x) for x in texts), start=1))))
+    assert lsh_forest.one_of_each(docs).count() == 80
+    assert lsh_forest.one_of_each(docs, 80).count() == 40
+    found = lsh_forest.near_duplicates(docs, 80).collect()
+    assert sorted(str(tuple(r)) for r in found) == brute(rows, 80)
