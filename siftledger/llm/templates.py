@@ -143,9 +143,11 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]]):
         reader = Reader()
+        # By the item's number in the block; ids may be NULL or repeated.
+        self.ids = [item for item, _ in items]
         self.words: dict[int, tuple] = {}
         found = defaultdict(list)
-        for item, text in items:
+        for item, (_, text) in enumerate(items):
             literal, template, kinds, place = reader.read(text or "")
             n = len(literal)
             if n == 0:
@@ -167,7 +169,7 @@ class Benchmark:
             self.sizes[size] = (near, codes, rows)
 
     def hits(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(place in the document, item, place in the item, window length)."""
+        """(place in the document, item's number, place in the item, window length)."""
         for size, (near, known, rows) in self.sizes.items():
             hashes = windows(codes, size)
             maybe = np.flatnonzero(near[(hashes >> np.uint64(44)).astype(np.int64)])
@@ -213,7 +215,7 @@ class Benchmark:
                         consistent &= theirs.setdefault(back, values[x]) == values[x]
                 if consistent and (best is None or len(of) > best["words"]):
                     best = {
-                        "item_id": item,
+                        "item_id": self.ids[item],
                         "words": len(of),
                         "first_word": int(place[of[0] + shift]),
                         "slots": slots,
@@ -225,6 +227,16 @@ class Benchmark:
         return leaks
 
 
+def _one_per_id(leaks: list[dict]) -> list[dict]:
+    """Of each item id the leak of the most words, the first of equal ones."""
+    best: dict[int | None, dict] = {}
+    for leak in leaks:
+        known = best.setdefault(leak["item_id"], leak)
+        if leak["words"] > known["words"]:
+            best[leak["item_id"]] = leak
+    return list(best.values())
+
+
 LEAKS = "array<struct<item_id:bigint,words:bigint,first_word:bigint,slots:bigint,changed:bigint>>"
 _TYPE = pa.list_(
     pa.struct([(n, pa.int64()) for n in ("item_id", "words", "first_word", "slots", "changed")])
@@ -256,8 +268,8 @@ def with_leaks(
 
     The benchmark is broadcast in blocks of bounded size; each block reads the documents
     once. Documents are never shuffled, so no passage or source is a hot key. A NULL or
-    empty text, or item, matches nothing; repeated rows are judged one by one; items with
-    one id count as one item. ``name`` is lengthened where ``docs`` has such a column.
+    empty text, or item, matches nothing; repeated rows are judged one by one; texts under
+    one item id (NULL is one) are judged each, and the longest match is given. ``name`` is lengthened where ``docs`` has such a column.
     """
     spark = docs.sparkSession
     columns = docs.columns
@@ -272,7 +284,10 @@ def with_leaks(
             for part in parts:
                 texts = strings(part.column(columns.index("text")))
                 before = part.column(len(columns)).to_pylist()
-                now = [(b or []) + known.leaks(reader, t, covered) for b, t in zip(before, texts)]
+                now = [
+                    _one_per_id((b or []) + known.leaks(reader, t, covered))
+                    for b, t in zip(before, texts)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(now, _TYPE)], names=part.schema.names
                 )

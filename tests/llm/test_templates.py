@@ -79,3 +79,12 @@ def test_against_brute_force(spark, documents):
             expected |= {(doc, item) for item in runs.get(tuple(w[k : k + 13]), ())}
     got = templates.leaked_items(documents(*rows), bench(spark, *items)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == expected
+
+
+def test_repeated_and_null_ids(spark, documents):
+    docs = documents((1, f"x {ITEM} y"), (2, f"x {PLAIN} y"), (3, f"x {PLAIN} y {ITEM} z"), (4, OTHER))
+    rows = [(1, ITEM), (1, PLAIN), (None, ITEM), (None, PLAIN), (None, "To be or not to be")]
+    both = [(None, False), (1, False)]
+    expected = {1: both, 2: both, 3: both, 4: [(None, True), (1, True)]}
+    for words in (1_000_000, 5):
+        assert found(docs, bench(spark, *rows), block_words=words) == expected
