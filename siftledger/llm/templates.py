@@ -2,14 +2,16 @@
 
 Words become template tokens: numbers, units and names are typed placeholders. Windows
 of template tokens (and, beside them, of plain lower-case words) are hashed and joined
-with the benchmark's windows. Along a match, placeholders must be filled consistently:
-one benchmark value stands for one value of the document and the other way round.
+with the benchmark's windows. Verbatim windows count as they are. In template windows, a
+benchmark name or unit stands for one value of the document, and two names for two; slots
+that disagree with most others take out the template windows that hold them. Numbers are
+free: one number may stand for two quantities, and two quantities may become equal.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,7 +186,8 @@ class Benchmark:
     def leaks(self, reader: Reader, text: str, covered: int) -> list[dict]:
         """Items that the text holds, verbatim or with other slot values."""
         literal, template, kinds, place = reader.read(text)
-        found = set(self.hits(literal))
+        verbatim = set(self.hits(literal))
+        found = set(verbatim)
         if (kinds != WORD).any():
             found |= set(self.hits(template))
         if not found:
@@ -192,28 +195,24 @@ class Benchmark:
         words = text.split()
         by_item: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
         for at, item, of, size in found:
-            by_item[item][at - of].append((of, size))
+            by_item[item][at - of].append((of, size, (at, item, of, size) in verbatim))
         leaks = []
         for item, diagonals in sorted(by_item.items()):
             values, item_kinds, item_literal = self.words[item]
             best = None
             for shift, hits in diagonals.items():
-                of = sorted({x for a, size in hits for x in range(a, a + size)})
-                slots, mine, theirs, consistent = 0, {}, {}, True
-                changed = 0
-                for x in of:
+                filled = {}
+                for x in sorted({x for a, size, _ in hits for x in range(a, a + size)}):
                     if literal[x + shift] == item_literal[x]:
-                        value = values[x]
+                        filled[x] = values[x]
                     else:
-                        value = _EDGE.sub("", words[place[x + shift]]).lower()
-                        changed += 1
-                    if item_kinds[x] != WORD:
-                        slots += 1
-                        key = (item_kinds[x], values[x])
-                        consistent &= mine.setdefault(key, value) == value
-                        back = (item_kinds[x], value)
-                        consistent &= theirs.setdefault(back, values[x]) == values[x]
-                if consistent and (best is None or len(of) > best["words"]):
+                        filled[x] = _EDGE.sub("", words[place[x + shift]]).lower()
+                bad = _inconsistent([(x, item_kinds[x], values[x], y) for x, y in filled.items()])
+                kept = [range(a, a + n) for a, n, same in hits if same or bad.isdisjoint(range(a, a + n))]
+                of = sorted({x for window in kept for x in window})
+                slots = sum(int(item_kinds[x] != WORD) for x in of)
+                changed = sum(filled[x] != values[x] for x in of)
+                if of and (best is None or len(of) > best["words"]):
                     best = {
                         "item_id": self.ids[item],
                         "words": len(of),
@@ -227,6 +226,26 @@ class Benchmark:
         return leaks
 
 
+def _inconsistent(filled: list[tuple]) -> set[int]:
+    """Places of the slots (place, kind, item's value, document's value) that disagree with most.
+
+    Where no value has most, all that disagree are taken.
+    """
+    bad = set()
+    for kinds, mine, theirs in (((UNIT, NAME), 2, 3), ((NAME,), 3, 2)):
+        stands = defaultdict(Counter)
+        for slot in filled:
+            if slot[1] in kinds:
+                stands[slot[1], slot[mine]][slot[theirs]] += 1
+        for slot in filled:
+            counts = stands.get((slot[1], slot[mine]), {})
+            if len(counts) > 1:
+                (value, first), (_, second) = counts.most_common(2)
+                if first == second or slot[theirs] != value:
+                    bad.add(slot[0])
+    return bad
+
+
 def _one_per_id(leaks: list[dict]) -> list[dict]:
     """Of each item id the leak of the most words, the first of equal ones."""
     best: dict[int | None, dict] = {}

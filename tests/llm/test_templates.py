@@ -88,3 +88,27 @@ def test_repeated_and_null_ids(spark, documents):
     expected = {1: both, 2: both, 3: both, 4: [(None, True), (1, True)]}
     for words in (1_000_000, 5):
         assert found(docs, bench(spark, *rows), block_words=words) == expected
+
+
+def test_an_inconsistent_slot_takes_only_its_windows(spark, documents):
+    long = "Then Anna went. " + " ".join(f"plain{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(40))
+    long += " and so the good Anna met all of her old friends"
+    half = long.replace("good Anna", "good Maria")
+    threes = "in the shop 3 pens are on the table and each of them costs a buyer just 3 dollars in all"
+    docs = documents(
+        (1, half),
+        (2, threes.replace("shop 3", "shop 7").replace("just 3", "just 4")),
+        (3, ITEM.replace("12 apples at 3", "5 apples at 5")),
+        (4, MIXED),
+    )
+    leaks = found(docs, bench(spark, (1, long), (2, threes), (3, ITEM)))
+    assert {k: [x for x, _ in v] for k, v in leaks.items()} == {1: [1], 2: [2], 3: [3], 4: []}
+    (row,) = templates.with_leaks(docs.where("doc_id = 1"), bench(spark, (1, long))).collect()
+    assert row["leaks"][0]["words"] >= 40
+
+
+def test_which_slots_are_inconsistent():
+    """Kinds: 1 is a number, 3 a name."""
+    assert templates._inconsistent([(0, 3, "a", "m"), (5, 3, "p", "m")]) == {0, 5}
+    assert templates._inconsistent([(0, 3, "a", "m"), (5, 3, "a", "m"), (9, 3, "a", "h")]) == {9}
+    assert templates._inconsistent([(0, 1, "3", "7"), (5, 1, "3", "4"), (9, 1, "12", "4")]) == set()
