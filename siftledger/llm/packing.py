@@ -44,9 +44,10 @@ from siftledger.session import materialise
 CAPACITY = 2048
 # The id that ends a document.
 END_ID = 0
-# Pre-tokens a worker remembers at once, and steps of the search; both bound resources,
-# not results: a forgotten pre-token is tokenised again.
+# Pre-tokens a worker remembers at once; a forgotten one is tokenised again.
 REMEMBERED = 700_000
+# Steps of the search, and fillings it tries per bin (the first found in 400 steps). They
+# bound how good the packing gets: sequences may be more than need be, no piece is left out.
 STEPS = 3_000
 FILLINGS = 8
 
