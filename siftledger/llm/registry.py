@@ -8,10 +8,12 @@ from siftledger.llm import (
     hpylm,
     line_runs,
     lsh_forest,
+    maxscore,
     mil,
     packing,
     sharding,
     templates,
+    threshold,
     token_counts,
 )
 
@@ -28,8 +30,15 @@ def queries() -> dict:
         "op8_hnsw": hnsw.query,
         "op9_chat_format": chat.query,
         "op10_template_decontamination": templates.query,
+        "op12_threshold": threshold.query,
+        "op13_maxscore": maxscore.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_runs": line_runs.SQL, "op9_chat_format": chat.SQL}
+    return {
+        "op4_line_runs": line_runs.SQL,
+        "op9_chat_format": chat.SQL,
+        "op12_threshold": threshold.SQL,
+        "op13_maxscore": maxscore.SQL,
+    }
