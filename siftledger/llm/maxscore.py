@@ -203,10 +203,10 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL = f"""
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)

@@ -236,11 +236,11 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL = f"""
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e,
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e,
     CASE WHEN vec_id % {RELABELLED} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
   SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
     CAST(list_dot_product(a.e, o.e) AS BIGINT) AS score
