@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siftledger.llm import (
     chat,
+    edit_automata,
     hnsw,
     hpylm,
     line_runs,
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op8_hnsw": hnsw.query,
         "op9_chat_format": chat.query,
         "op10_template_decontamination": templates.query,
+        "op11_edit_automata": edit_automata.query,
         "op12_threshold": threshold.query,
         "op13_maxscore": maxscore.query,
     }
@@ -39,6 +41,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_runs": line_runs.SQL,
         "op9_chat_format": chat.SQL,
+        "op11_edit_automata": edit_automata.SQL,
         "op12_threshold": threshold.SQL,
         "op13_maxscore": maxscore.SQL,
     }
