@@ -21,8 +21,8 @@ SCALE = 256
 SHARD_NODES = 8192
 BLOCK_QUERIES = 2048
 
-# Scores below this are exact in double precision, partial sums included.
-_EXACT = 2**53
+# Whole numbers below these are exact in the type, so scores with their partial sums are.
+_EXACT = ((2**24, np.float32), (2**53, np.float64))
 _LONG = np.iinfo(np.int64)
 
 
@@ -98,12 +98,11 @@ def matrix(vectors: list) -> np.ndarray:
 
 
 def as_exact(m: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both arrays in a type whose inner products are exact: doubles, else Python integers."""
-    if m.size and other.size:
-        most = float(np.abs(m.astype(float)).max()) * float(np.abs(other.astype(float)).max())
-        if most * m.shape[1] >= _EXACT:
-            return m.astype(object), other.astype(object)
-    return m.astype(float), other.astype(float)
+    """Both arrays in a type whose inner products are exact: floats, else Python integers."""
+    largest = [np.abs(x.astype(float)).max(initial=1.0) for x in (m, other)]
+    most = largest[0] * largest[1] * max(m.shape[1], 1)
+    kind = next((kind for limit, kind in _EXACT if most < limit), object)
+    return m.astype(kind), other.astype(kind)
 
 
 def as_long(scores: np.ndarray) -> np.ndarray:

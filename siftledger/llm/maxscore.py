@@ -138,18 +138,16 @@ def _search(k: int):
                 rows = competitive(shard, vectors, query, k)
                 score = vectors[rows] @ query
                 best = np.argsort(-score, kind="stable")[:k]  # rows are in order of rep
-                at = rows[best]
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "query_node": asked["node"],
-                            "node": nodes[at],
-                            "rep": reps[at],
-                            "score": iv.as_long(score[best]),
-                        }
-                    )
-                )
-            yield pd.concat(found)
+                found.append((asked["node"], rows[best], score[best]))
+            at = np.concatenate([at for _, at, _ in found])
+            yield pd.DataFrame(
+                {
+                    "query_node": np.repeat([n for n, *_ in found], [len(x) for _, x, _ in found]),
+                    "node": nodes[at],
+                    "rep": reps[at],
+                    "score": iv.as_long(np.concatenate([score for *_, score in found])),
+                }
+            )
 
     return run
 

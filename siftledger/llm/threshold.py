@@ -28,7 +28,8 @@ LOWEST, HIGHEST = 3, 9
 EVERY = 100
 # Every so many ids the label is moved on by one, modulo the number of labels.
 RELABELLED, LABELS = 7, 10
-_DEPTH = 32
+# Places read from every list at first; each time four times as many.
+_DEPTH = 64
 
 
 def sorted_access(
@@ -47,43 +48,46 @@ def sorted_access(
     """
     n = len(vectors)
     used = np.flatnonzero(query != 0)
-    seen = ~wanted  # never scored
-    met = [np.empty(0, int)]
-    scores = [np.empty(0, vectors.dtype)]
+    down, up = used[query[used] > 0], used[query[used] < 0]
+    unseen = wanted.copy()
+    rows, scores = np.empty(0, int), np.empty(0, vectors.dtype)
     best: list = [None] * len(windows)
     open_ = set(range(len(windows)))
-    at, depth = 0, min(_DEPTH, n)
+    at, depth = 0, _DEPTH
     while open_:
-        new = np.zeros(n, bool)
-        if depth >= n or not len(used):
-            depth = n
-            new[:] = True
-        for d in used if depth < n else ():
-            new[order[d, at:depth] if query[d] < 0 else order[d, n - depth : n - at]] = True
-        fresh = np.flatnonzero(new & ~seen)
-        seen[fresh] = True
-        met.append(fresh)
-        scores.append(vectors[fresh] @ query)
-        rows, score = np.concatenate(met), np.concatenate(scores)
-        last = [order[d, depth - 1 if query[d] < 0 else n - depth] for d in used] if depth < n else []
-        threshold = vectors[last, used] @ query[used] if depth < n else None
+        if depth < n and len(used):
+            met = np.zeros(n, bool)
+            met[order[down, n - depth : n - at]] = True
+            met[order[up, at:depth]] = True
+            fresh = np.flatnonzero(met & unseen)
+            last = np.concatenate([order[down, n - depth], order[up, depth - 1]])
+            of = np.concatenate([down, up])
+            threshold = vectors[last, of] @ query[of]
+        else:
+            fresh, threshold = np.flatnonzero(unseen), None
+        unseen[fresh] = False
+        rows = np.concatenate([rows, fresh])
+        scores = np.concatenate([scores, vectors[fresh] @ query])
+        if not unseen.any():
+            threshold = None  # no row is left to meet
         for w in list(open_):
             low, high = windows[w]
+            if threshold is not None and high is not None and threshold >= high:
+                continue  # no k-th score inside can exceed the threshold yet
             inside = np.ones(len(rows), bool)
             if low is not None:
-                inside &= score >= low
+                inside &= scores >= low
             if high is not None:
-                inside &= score <= high
-            candidates = np.flatnonzero(inside)
+                inside &= scores <= high
+            inside = np.flatnonzero(inside)
             floor = low
-            if len(candidates) >= k:
-                kth = np.sort(score[candidates])[-k]
-                floor = kth if floor is None else max(floor, kth)
+            if threshold is not None and len(inside) >= k:
+                floor = np.sort(scores[inside])[-k]
             if threshold is None or (floor is not None and threshold < floor):
-                ranked = np.lexsort((rows[candidates], -score[candidates]))[:k]
-                best[w] = rows[candidates[ranked]], score[candidates[ranked]]
+                ranked = inside[np.lexsort((rows[inside], -scores[inside]))[:k]]
+                best[w] = rows[ranked], scores[ranked]
                 open_.discard(w)
-        at, depth = depth, min(2 * depth, n)
+        at, depth = depth, 4 * depth
     return best
 
 
@@ -128,19 +132,18 @@ def _search(k: int, same_label: bool):
                 windows = [(None, None)] if same_label else [window(p) for p in positives]
                 wanted = (labels == asked["label"]) == same_label
                 best = sorted_access(vectors, order, wanted, query, windows, k)
-                for positive, (rows, score) in zip(positives, best):
-                    found.append(
-                        pd.DataFrame(
-                            {
-                                "query_node": asked["node"],
-                                "positive_score": pd.array([positive] * len(rows), "Int64"),
-                                "node": nodes[rows],
-                                "rep": reps[rows],
-                                "score": iv.as_long(score),
-                            }
-                        )
-                    )
-            yield pd.concat(found)
+                found += [(asked["node"], p, *b) for p, b in zip(positives, best)]
+            sizes = [len(at) for _, _, at, _ in found]
+            at = np.concatenate([at for _, _, at, _ in found])
+            yield pd.DataFrame(
+                {
+                    "query_node": np.repeat([node for node, *_ in found], sizes),
+                    "positive_score": pd.array([p for _, p, *_ in found], "Int64").repeat(sizes),
+                    "node": nodes[at],
+                    "rep": reps[at],
+                    "score": iv.as_long(np.concatenate([score for *_, score in found])),
+                }
+            )
 
     return run
 
