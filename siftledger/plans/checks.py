@@ -297,21 +297,50 @@ def schema_problems(df: DataFrame, relation: Relation) -> list[str]:
     ]
 
 
-def results(relations: Relations, checks: Sequence[Check]) -> DataFrame:
-    """``check``, ``severity``, ``failures`` and ``status``, one row per check."""
+RESULTS = "check string, severity string, failures long, status string"
+
+
+def row_tests(checks: Iterable[Check], relation: str) -> dict[str, Column]:
+    """Counts of failing rows, by name, of the tests on single rows of ``relation``."""
+    return {
+        c.name: F.expr(f"count_if({c.broken})")
+        for c in checks
+        if isinstance(c, RowCheck) and c.relation == relation
+    }
+
+
+def results(
+    relations: Relations, checks: Sequence[Check], counted: Mapping[str, int] | None = None
+) -> DataFrame:
+    """``check``, ``severity``, ``failures`` and ``status``, one row per check.
+
+    ``counted``: failures that are known already, by name. Keys tested under two names are
+    counted once.
+    """
+    known = {c.name: counted[c.name] for c in checks if counted and c.name in counted}
     by_relation: dict[str, list[RowCheck]] = {}
+    by_key: dict[tuple[str, str], list[str]] = {}
     for check in checks:
-        if isinstance(check, RowCheck):
+        if isinstance(check, UniqueCheck):
+            by_key.setdefault((check.relation, check.column), []).append(check.name)
+        elif isinstance(check, RowCheck) and check.name not in known:
             by_relation.setdefault(check.relation, []).append(check)
-    counted = [_count_rows(relations[name], group) for name, group in by_relation.items()]
-    counted += [
+    found = [_count_rows(relations[name], group) for name, group in by_relation.items()]
+    for (relation, column), names in by_key.items():
+        failures = UniqueCheck(names[0], relation, column=column).failures(relations)
+        lines = ", ".join(f"'{name}', failures" for name in names)
+        found.append(failures.selectExpr(f"stack({len(names)}, {lines}) AS (check, failures)"))
+    found += [
         check.failures(relations).selectExpr(f"'{check.name}' AS check", "failures")
         for check in checks
-        if not isinstance(check, RowCheck)
+        if not isinstance(check, (RowCheck, UniqueCheck))
     ]
+    if known:
+        spark = next(iter(relations.values())).sparkSession
+        found.append(spark.createDataFrame(list(known.items()), "check string, failures long"))
     status = " ".join(f"WHEN '{c.name}' THEN {c.severity.status()}" for c in checks)
     label = " ".join(f"WHEN '{c.name}' THEN '{c.severity.label}'" for c in checks)
-    return reduce(DataFrame.union, counted).selectExpr(
+    return reduce(DataFrame.union, found).selectExpr(
         "check", f"CASE check {label} END AS severity", "failures", f"CASE check {status} END AS status"
     )
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -46,7 +46,9 @@ PUBLISHED = (
 LOGS = (schemas.RUN_AUDIT,)
 VIEWS = {
     "analytics.dim_table": "SELECT * FROM analytics.dim_product",
-    "analytics.fact_table": "SELECT * FROM analytics.fct_transactions",
+    "analytics.fact_table": (
+        f"SELECT {', '.join(schemas.FACT.schema.names)} FROM analytics.fct_transactions"
+    ),
     "analytics.dq_quarantine_reasons": (
         "SELECT transaction_id_raw, explode(dq_reasons) AS dq_reason, _quarantined_at "
         "FROM analytics.quarantine_customer_transactions"
@@ -71,6 +73,8 @@ class Options:
     quarantine_severity: Severity = field(default=Severity(warn_above=0, fail_from=50))
     multi_line: bool = False
     strict: bool = True
+    # Whether tables are published although tests of error severity failed.
+    publish_failing: bool = True
 
 
 @dataclass(frozen=True)
@@ -79,7 +83,7 @@ class RunReport:
     relations: Mapping[str, DataFrame]
     checks: list[Row]
     alerts: list[Row]
-    summary: DataFrame
+    summary: DataFrame | None
 
     @property
     def failed(self) -> list[str]:
@@ -110,18 +114,22 @@ def run(
 def _build_and_report(
     warehouse: Warehouse, raw: DataFrame, run_ts: datetime, options: Options
 ) -> RunReport:
-    relations = build(warehouse, raw, run_ts, options.spine)
-    enforce_contracts(relations)
-    relations |= summarise(warehouse, relations)
+    declared = checks.declared_checks(options.quarantine_severity) + checks.digits_lost_checks()
+    relations = build(warehouse, raw, run_ts, options.spine, declared)
+    enforce_columns(relations)
+    relations |= summarise(warehouse, relations, declared)
+    audit = quality.run_audit(
+        relations[schemas.COMPLETENESS.name], relations[checks.REASONS], warehouse.run_id, run_ts
+    )
+    outcome = test(warehouse, relations | {schemas.RUN_AUDIT.name: audit}, declared)
+    result = RunReport(warehouse, relations, outcome, [], None)
+    if not options.publish_failing and result.failed:
+        raise ChecksFailed(f"run {warehouse.run_id}, not published: {', '.join(result.failed)}")
 
     # History is appended once the tables are published: a run that fails before leaves none.
-    warehouse.publish(PUBLISHED, (), VIEWS)
-    relations |= note_in_history(warehouse, relations, run_ts)
-    warehouse.publish((), LOGS, {})
-    warehouse.record(datetime.now(timezone.utc))
-
-    declared = checks.declared_checks(options.quarantine_severity) + checks.digits_lost_checks()
-    outcome = test(warehouse, relations, declared)
+    warehouse.publish(PUBLISHED, VIEWS)
+    relations |= note_in_history(warehouse, audit)
+    warehouse.show_logs(LOGS)
     raised = report(warehouse, relations, options.quarantine_alert_pct)
     summary = quality.run_summary(relations[schemas.COMPLETENESS.name], relations[checks.REASONS])
     return RunReport(warehouse, relations, outcome, raised, summary)
@@ -132,25 +140,28 @@ def land(warehouse: Warehouse, source: str, run_ts: datetime, multi_line: bool)
     spark = warehouse.spark
     delimited.validate_header(spark, source)
     expected = delimited.count_data_rows(spark, source, multi_line)
-    raw = _store(
-        warehouse, schemas.RAW, delimited.read_source(spark, source, run_ts, multi_line)
-    )
+    raw = warehouse.store(schemas.RAW, delimited.read_source(spark, source, run_ts, multi_line))
     delimited.reconcile(expected, raw)
     return raw
 
 
 def build(
-    warehouse: Warehouse, raw: DataFrame, run_ts: datetime, spine: tuple[str, str]
+    warehouse: Warehouse,
+    raw: DataFrame,
+    run_ts: datetime,
+    spine: tuple[str, str],
+    declared: Sequence[Check] = (),
 ) -> dict[str, DataFrame]:
-    """Staged rows, star schema and quarantine."""
+    """Staged rows, star schema and quarantine; tests of single rows count as they are written."""
     repeated = warehouse.write(
         staging.repeated_transaction_ids(raw), "staging", "repeated_transaction_ids"
     )
-    staged = _store(
-        warehouse, schemas.STAGED, staging.staged(raw, repeated), partition_by=["is_valid"]
+    built = _together(
+        warehouse, {schemas.STAGED: lambda: staging.staged(raw, repeated)}, declared
     )
+    staged = built[schemas.STAGED.name]
     valid = marts.valid_transactions(staged)
-    built = _together(
+    built |= _together(
         warehouse,
         {
             schemas.FACT: lambda: marts.fct_transactions(valid),
@@ -159,30 +170,27 @@ def build(
             schemas.DIM_CUSTOMER: lambda: marts.dim_customer(valid),
             schemas.DIM_DATE: lambda: marts.dim_date(warehouse.spark, *spine),
         },
+        declared,
     )
-    built |= {schemas.RAW.name: raw, schemas.STAGED.name: staged}
+    built |= {schemas.RAW.name: raw}
     built[checks.REASONS] = quality.quarantine_reasons(built[schemas.QUARANTINE.name])
     return built
 
 
-def enforce_contracts(relations: Mapping[str, DataFrame]) -> None:
-    """Raise unless every contracted table has its columns, types, keys and values."""
+def enforce_columns(relations: Mapping[str, DataFrame]) -> None:
+    """Raise unless every contracted table has its columns and types."""
     problems = [
         problem
         for contract in schemas.CONTRACTS
         for problem in checks.schema_problems(relations[contract.name], contract)
     ]
-    if not problems:
-        problems = [
-            f"{row['check']}: {row['failures']}"
-            for row in checks.results(relations, checks.all_contract_checks()).collect()
-            if row["failures"]
-        ]
     if problems:
         raise ContractViolation("; ".join(problems))
 
 
-def summarise(warehouse: Warehouse, relations: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def summarise(
+    warehouse: Warehouse, relations: Mapping[str, DataFrame], declared: Sequence[Check] = ()
+) -> dict[str, DataFrame]:
     """Sales summaries and completeness."""
     fact = relations[schemas.FACT.name]
     products = relations[schemas.DIM_PRODUCT.name]
@@ -196,16 +204,12 @@ def summarise(warehouse: Warehouse, relations: Mapping[str, DataFrame]) -> dict[
                 relations[schemas.RAW.name], fact, relations[schemas.QUARANTINE.name]
             ),
         },
+        declared,
     )
 
 
-def note_in_history(
-    warehouse: Warehouse, relations: Mapping[str, DataFrame], run_ts: datetime
-) -> dict[str, DataFrame]:
+def note_in_history(warehouse: Warehouse, audit: DataFrame) -> dict[str, DataFrame]:
     """Append the run's history row; the whole history."""
-    audit = quality.run_audit(
-        relations[schemas.COMPLETENESS.name], relations[checks.REASONS], warehouse.run_id, run_ts
-    )
     history = warehouse.append_once(
         audit, schemas.RUN_AUDIT.namespace, schemas.RUN_AUDIT.name, "invocation_id"
     )
@@ -213,11 +217,21 @@ def note_in_history(
 
 
 def test(
-    warehouse: Warehouse, relations: Mapping[str, DataFrame], declared: list[Check]
+    warehouse: Warehouse, relations: Mapping[str, DataFrame], declared: Sequence[Check]
 ) -> list[Row]:
-    """Run the declared tests; store the results, and the failing rows of those that have any."""
-    results = warehouse.write(checks.results(relations, declared), "dq_audit", "check_results")
-    outcome = results.orderBy("check").collect()  # one row per declared test
+    """Test everything once, before publishing: contracts, then the declared tests.
+
+    A broken contract raises. Results are stored, and the failing rows of tests that have any.
+    """
+    contract = checks.all_contract_checks()
+    tested = checks.results(relations, [*contract, *declared], warehouse.counted).collect()
+    enforced = {check.name for check in contract}
+    problems = [f"{r['check']}: {r['failures']}" for r in tested if r["check"] in enforced and r["failures"]]
+    if problems:
+        raise ContractViolation("; ".join(sorted(problems)))
+    outcome = sorted((r for r in tested if r["check"] not in enforced), key=lambda r: r["check"])
+    stored = warehouse.spark.createDataFrame(outcome, checks.RESULTS).coalesce(1)
+    warehouse.write(stored, "dq_audit", "check_results")
     failing = {row["check"] for row in outcome if row["failures"]}
     for check in declared:
         if check.name in failing:
@@ -238,23 +252,20 @@ def report(
     return raised
 
 
-def _store(
-    warehouse: Warehouse,
-    relation: schemas.Relation,
-    df: DataFrame,
-    partition_by: tuple[str, ...] | list[str] = (),
-) -> DataFrame:
-    return warehouse.write(df, relation.namespace, relation.name, partition_by)
-
-
 def _together(
-    warehouse: Warehouse, builders: Mapping[schemas.Relation, Callable[[], DataFrame]]
+    warehouse: Warehouse,
+    builders: Mapping[schemas.Relation, Callable[[], DataFrame]],
+    declared: Sequence[Check] = (),
 ) -> dict[str, DataFrame]:
-    """Write independent tables at the same time, so that one's last tasks leave no idle cores."""
+    """Write independent tables at the same time, so that one's last tasks leave no idle cores.
+
+    Tests of single rows, declared and by contract, are counted on the rows as they pass.
+    """
 
     def write(item: tuple[schemas.Relation, Callable[[], DataFrame]]) -> tuple[str, DataFrame]:
         relation, builder = item
-        return relation.name, _store(warehouse, relation, builder())
+        tests = checks.row_tests([*declared, *checks.all_contract_checks()], relation.name)
+        return relation.name, warehouse.store(relation, builder(), tests)
 
     with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:
         task = inheritable_thread_target(warehouse.spark)(write)
@@ -262,7 +273,18 @@ def _together(
 
 
 def attach(spark: SparkSession, root: str, run_id: str | None = None) -> Warehouse:
-    """Point the views of this session's catalog at what was published under ``root`` last."""
+    """Show in this session's catalog what was published under ``root`` last, or for ``run_id``."""
     warehouse = Warehouse.published(spark, root, run_id)
-    warehouse.publish(PUBLISHED, LOGS, VIEWS)
+    warehouse.catalog.show(warehouse.snapshots.open(run_id=run_id), PUBLISHED, VIEWS)
+    warehouse.show_logs(LOGS)
     return warehouse
+
+
+def expire(spark: SparkSession, root: str, keep: int) -> tuple[list[int], list[str]]:
+    """Remove the files that only snapshots before the last ``keep`` name; what went."""
+    warehouse = Warehouse.published(spark, root)
+    numbers, paths = warehouse.snapshots.expire(keep)
+    shown = warehouse.catalog.current()
+    if shown is not None and shown[1] == warehouse.root:
+        warehouse.catalog.forget(numbers, PUBLISHED)
+    return numbers, paths

@@ -76,6 +76,20 @@ class Relation:
     schema: T.StructType
     primary_key: str | None = None
     enforced: bool = False
+    # The column that stored files are divided by, and how it follows from the others if
+    # it is not one of them.
+    partition: T.StructField | None = None
+    partition_sql: str | None = None
+
+    @property
+    def full_name(self) -> str:
+        return f"{self.namespace}.{self.name}"
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The declared columns, and the partition column if it is an added one."""
+        added = [] if self.partition_sql is None else [self.partition]
+        return T.StructType(self.schema.fields + added)
 
     @property
     def required(self) -> list[str]:
@@ -116,6 +130,7 @@ STAGED = Relation(
             field("total_amount", TOTAL, "quantity * unit_price + tax_amount."),
         ]
     ),
+    partition=field("is_valid", _bool, "True when no rule is broken."),
 )
 
 DIM_PRODUCT = Relation(
@@ -187,6 +202,8 @@ FACT = Relation(
     ),
     primary_key="transaction_id",
     enforced=True,
+    partition=field("month", _date, "First day of the month; files are divided by it."),
+    partition_sql="CAST(trunc(transaction_date, 'month') AS DATE)",
 )
 
 QUARANTINE = Relation(

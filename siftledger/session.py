@@ -82,3 +82,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     target = f"{scratch_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete files or folders, wherever Spark can write; those that are gone do not matter."""
+    context = spark.sparkContext
+    hadoop = context._jsc.hadoopConfiguration()
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(hadoop).delete(path, True)

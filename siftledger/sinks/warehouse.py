@@ -1,30 +1,26 @@
-"""Versioned tables under one root folder, published as catalog views.
+"""Tables under one root folder: written once, measured, published together.
 
 Each attempt at a run writes ``<root>/<namespace>/<table>/run=<run id>/attempt=<id>``,
 never over files that exist. Nothing a reader can see changes until
-:meth:`Warehouse.publish` points the views at the new versions, so a failed or repeated
-run leaves readers undisturbed. Parquet has no atomic overwrite; swapping a view is one
-catalog operation. Older versions stay until they are removed.
+:meth:`Warehouse.publish` commits a snapshot of all tables, so a failed or repeated run
+leaves readers undisturbed. Files stay as long as a kept snapshot names them.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftledger.plans.quality import not_yet_recorded
-from siftledger.schemas import NAMESPACES, Relation
-
-
-PUBLISHED_SCHEMA = "run_id string, version string, published_at timestamp"
+from siftledger.schemas import Relation
+from siftledger.sinks.catalog import Catalog
+from siftledger.sinks.snapshots import MEASURED, Part, Snapshot, Snapshots, measures
 
 
 class Warehouse:
@@ -33,17 +29,17 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.run_id = run_id
         self.version = version or f"run={run_id}/attempt={uuid.uuid4().hex}"
+        self.snapshots = Snapshots(spark, self.root)
+        self.catalog = Catalog(spark, self.root)
+        # What this attempt has stored, by relation; and numbers counted while writing.
+        self.parts: dict[str, list[Part]] = {}
+        self.counted: dict[str, int] = {}
 
     @classmethod
     def published(cls, spark: SparkSession, root: str, run_id: str | None = None) -> Warehouse:
-        """The warehouse as of the version published last, or last for ``run_id``."""
-        log = cls(spark, root, "", "")._log("", "published", PUBLISHED_SCHEMA)
-        if log is not None:
-            found = log if run_id is None else log.where(F.col("run_id") == run_id)
-            last = found.orderBy(F.desc("published_at")).first()
-            if last is not None:
-                return cls(spark, root, last["run_id"], last["version"])
-        raise FileNotFoundError(f"nothing published under {root}" + (f" for {run_id}" if run_id else ""))
+        """The warehouse as of the snapshot published last, or last for ``run_id``."""
+        found = Snapshots(spark, root).open(run_id=run_id)
+        return cls(spark, root, found.run_id, found.version)
 
     # Tables of one run
 
@@ -64,6 +60,61 @@ class Warehouse:
         stored = self.spark.read.schema(schema).parquet(self.path(namespace, table))
         return stored.select(*schema.names)
 
+    def store(
+        self, relation: Relation, df: DataFrame, counted: Mapping[str, Column] | None = None
+    ) -> DataFrame:
+        """Write a relation of this run and return its declared columns as stored.
+
+        Rows, fingerprint and the ``counted`` aggregates (by name, into :attr:`counted`)
+        are observed on the rows as they are written, without a scan of their own. Only
+        parts that are not two are measured afterwards, which also reads them back.
+        """
+        names, part = relation.schema.names, relation.partition
+        target = self.path(relation.namespace, relation.name)
+        rows = df.select(*names)
+        if relation.partition_sql is not None:
+            rows = rows.withColumn(part.name, F.expr(relation.partition_sql))
+            # Few files a month, large months in several tasks.
+            rows = rows.hint("rebalance", part.name)
+        two_parts = part is not None and isinstance(part.dataType, T.BooleanType)
+        wanted = {f"_{i}": measure for i, measure in enumerate((counted or {}).values())}
+        if two_parts:
+            for value in (True, False):
+                of_part = F.col(part.name) == value
+                for name, measure in zip(MEASURED, _measures_where(of_part, names)):
+                    wanted[f"_{name}_{value}"] = measure
+        elif part is None:
+            wanted |= dict(zip(MEASURED, measures(names)))
+        observed = {}
+        if wanted:
+            observation = Observation()
+            rows = rows.observe(observation, *[m.alias(n) for n, m in wanted.items()])
+        rows.write.partitionBy(*([part.name] if part else [])).parquet(target)
+        if wanted:
+            observed = observation.get
+        self.counted |= {n: observed[f"_{i}"] for i, n in enumerate(counted or {})}
+        folder = f"{relation.namespace}/{relation.name}/{self.version}"
+        if two_parts:
+            measured = [
+                (str(v).lower(), *(observed[f"_{m}_{v}"] for m in MEASURED)) for v in (True, False)
+            ]
+        elif part is None:
+            measured = [(None, *(observed[m] for m in MEASURED))]
+        else:
+            measured = self.measured_parts(relation, target)
+        self.parts[relation.full_name] = [
+            Part(relation.full_name, p, folder if p is None else f"{folder}/{part.name}={p}", n, x)
+            for p, n, x in measured
+            if p is None or n
+        ]
+        return self.read(relation.namespace, relation.name, relation.schema)
+
+    def measured_parts(self, relation: Relation, target: str) -> list[tuple]:
+        """Part, rows and fingerprint of stored files, from a scan; a row per partition value."""
+        stored = self.spark.read.schema(relation.stored_schema).parquet(target)
+        by_part = stored.groupBy(F.col(relation.partition.name).cast("string").alias("part"))
+        return [tuple(r) for r in by_part.agg(*measures(relation.schema.names)).collect()]
+
     # Tables that grow from run to run
 
     def log_path(self, namespace: str, table: str) -> str:
@@ -87,46 +138,38 @@ class Warehouse:
                 return None
             raise
 
-    # Catalog
+    # Publishing
 
     def publish(
         self,
         relations: Sequence[Relation],
-        logs: Sequence[Relation],
         queries: Mapping[str, str],
-    ) -> None:
-        """Point the view of each relation at this version, with its documentation.
+        base: Snapshot | None = None,
+    ) -> Snapshot:
+        """Commit what was stored as the next snapshot, and show it in the catalog.
 
-        ``queries`` are views defined by SQL over published relations.
+        Parts of ``base`` are kept for relations that this run has not stored.
         """
-        for name in NAMESPACES:
-            location = _text(f"{self.root}/{name}")
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {location}")
-        views = [(r, self.path(r.namespace, r.name)) for r in relations]
-        views += [(r, self.log_path(r.namespace, r.name)) for r in logs]
-        with ThreadPoolExecutor(max(len(views), 1)) as pool:
-            task = inheritable_thread_target(self.spark)(self._view)
-            list(pool.map(lambda view: task(*view), views))
-        for name, query in queries.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
-
-    def record(self, published_at: datetime) -> None:
-        """Note this version as the published one, for sessions with another catalog."""
-        row = [(self.run_id, self.version, published_at)]
-        entry = self.spark.createDataFrame(row, PUBLISHED_SCHEMA).coalesce(1)
-        entry.write.mode("append").parquet(self.log_path("", "published"))
-
-    def _view(self, relation: Relation, location: str) -> None:
-        names = ", ".join(
-            f"`{f.name}` COMMENT {_text(f.metadata.get('comment', ''))}" for f in relation.schema
-        )
-        # A partition column comes back from its folder name as text, hence the casts.
-        values = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()})" for f in relation.schema)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {relation.namespace}.{relation.name} ({names}) "
-            f"COMMENT {_text(relation.comment)} AS SELECT {values} FROM parquet.`{location}`"
+        kept = [p for p in (base.parts if base else ()) if p.table not in self.parts]
+        snapshot = self.snapshots.commit(
+            kept + [p for parts in self.parts.values() for p in parts],
+            self.run_id,
+            self.version,
+            datetime.now(timezone.utc),
+            base.number if base else None,
         )
+        self.catalog.show(snapshot, relations, queries)
+        return snapshot
+
+    def show_logs(self, logs: Sequence[Relation]) -> None:
+        for relation in logs:
+            self.catalog.show_log(relation, self.log_path(relation.namespace, relation.name))
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _measures_where(condition: Column, columns: Sequence[str]) -> list[Column]:
+    """The measures of the rows for which ``condition`` holds."""
+    hashed = F.when(condition, F.xxhash64(*columns)).cast("decimal(20, 0)")
+    return [
+        F.count_if(condition),
+        F.coalesce(F.sum(hashed), F.lit(0)).cast("decimal(38, 0)"),
+    ]
