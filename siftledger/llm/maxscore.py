@@ -30,28 +30,36 @@ _PROBES = 8
 class Shard:
     """Vectors of nodes, and the postings of each (dimension, sign) with its bound."""
 
-    def __init__(self, vectors: np.ndarray, postings: np.ndarray, ends: np.ndarray):
-        """``postings``: rows, term after term (dimension 0 +, dimension 0 -, 1 +, ...)."""
-        self.vectors, self.postings, self.ends = vectors, postings, ends
-        self.bounds = [(int(c.max(initial=0)), -int(c.min(initial=0))) for c in vectors.T]
+    def __init__(self, vectors: np.ndarray, rows: np.ndarray, ends: np.ndarray):
+        """``rows``: the rows of the postings, term after term (dimension 0 +, dimension 0 -,
+        1 +, ...). ``vectors`` have a type whose inner products are exact."""
+        self.vectors, self.columns = vectors, np.ascontiguousarray(vectors.T)
+        self.rows, self.ends = rows.astype(np.intp), ends
+        self.impacts = np.concatenate(
+            [self.columns[t // 2][self._part(self.rows, t)] for t in range(len(ends))]
+            or [np.empty(0, vectors.dtype)]
+        )
+        self.bounds = [(c.max(initial=0), -c.min(initial=0)) for c in self.columns]
 
-    @classmethod
-    def of(cls, vectors: np.ndarray) -> Shard:
-        lists = [np.flatnonzero(sign * column > 0) for column in vectors.T for sign in (1, -1)]
-        postings = np.concatenate([*lists, np.empty(0, int)]).astype(np.int32)
-        return cls(vectors, postings, np.cumsum([len(x) for x in lists], dtype=np.int64))
+    def _part(self, array: np.ndarray, term: int) -> np.ndarray:
+        return array[self.ends[term - 1] if term else 0 : self.ends[term]]
 
-    def posting(self, dimension: int, sign: int) -> np.ndarray:
-        term = 2 * dimension + (sign < 0)
-        return self.postings[self.ends[term - 1] if term else 0 : self.ends[term]]
+    def posting(self, dimension: int, sign: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and components."""
+        term = 2 * dimension + int(sign < 0)
+        return self._part(self.rows, term), self._part(self.impacts, term)
 
 
-def competitive(shard: Shard, vectors: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
-    """Rows of the shard that can hold one of its ``k`` best scores, ties included.
+def postings(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of each term's postings, and where each ends."""
+    lists = [np.flatnonzero(sign * column > 0) for column in vectors.T for sign in (1, -1)]
+    rows = np.concatenate([*lists, np.empty(0, int)]).astype(np.int32)
+    return rows, np.cumsum([len(x) for x in lists], dtype=np.int64)
 
-    ``vectors`` and ``query`` are the shard's and a query's in a type whose inner products
-    are exact.
-    """
+
+def competitive(shard: Shard, query: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the shard that can hold one of its ``k`` best scores, ties included."""
+    vectors, columns = shard.vectors, shard.columns
     everything = np.arange(len(vectors))
     if len(vectors) <= 4 * k or not query.any():
         return everything
@@ -65,10 +73,10 @@ def competitive(shard: Shard, vectors: np.ndarray, query: np.ndarray, k: int) ->
     rest = np.append(np.cumsum(bound[::-1])[::-1], [0 * bound[0]])
 
     # Whole scores of the greatest impacts of one list give a first k-th best.
-    first = shard.posting(used[0], sign[0])
+    first, impact = shard.posting(used[0], sign[0])
     if len(first) < k:
         return everything
-    first = first[np.argsort(-np.abs(vectors[first, used[0]]), kind="stable")[: 8 * k]]
+    first = first[_largest(np.abs(impact), 8 * k)]
     threshold = _kth(vectors[first] @ query, k)
     if threshold <= 0:  # nodes in no list that adds may be among the best
         return everything
@@ -77,8 +85,8 @@ def competitive(shard: Shard, vectors: np.ndarray, query: np.ndarray, k: int) ->
     gained = np.zeros(len(vectors), vectors.dtype)
     seen = np.zeros(len(vectors), bool)
     for dimension, s in zip(used[:essential], sign[:essential]):
-        rows = shard.posting(dimension, s)
-        gained[rows] += vectors[rows, dimension] * query[dimension]
+        rows, impact = shard.posting(dimension, s)
+        gained[rows] += impact * query[dimension]
         seen[rows] = True
     alive = np.flatnonzero(seen & (gained + rest[essential] >= threshold))
     score = gained[alive]
@@ -87,17 +95,21 @@ def competitive(shard: Shard, vectors: np.ndarray, query: np.ndarray, k: int) ->
     for at in [*range(0, essential, _PROBES), *range(essential, len(used), _PROBES)]:
         taken = at < essential
         upto = min(at + _PROBES, essential if taken else len(used))
-        dimensions = used[at:upto]
-        part = vectors[np.ix_(alive, dimensions)] * query[dimensions]
-        score = score + (np.minimum(part, 0) if taken else part).sum(axis=1)
         if len(alive) > 8 * k:  # the whole scores of those that lead raise the threshold
-            lead = alive[np.argsort(-score, kind="stable")[: 2 * k]]
+            lead = alive[_largest(score, 2 * k)]
             threshold = max(threshold, _kth(vectors[lead] @ query, k))
+        for dimension in used[at:upto]:
+            part = columns[dimension][alive] * query[dimension]
+            score += np.minimum(part, 0) if taken else part
         keep = score + rest[essential if taken else upto] >= threshold
         alive, score = alive[keep], score[keep]
     return alive
 
 
+def _largest(values: np.ndarray, n: int) -> np.ndarray:
+    return np.argpartition(values, -n)[-n:] if len(values) > n else np.arange(len(values))
+
+
 def _kth(scores: np.ndarray, k: int):
     return np.sort(scores)[-k]
 
@@ -108,13 +120,11 @@ _INDEX = "shard long, nodes binary, reps binary, vectors binary, postings binary
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["rep", "node"])
     vectors = iv.matrix(rows["v"].tolist())
-    shard = Shard.of(vectors)
     flat = (
         rows["node"].to_numpy(np.int64),
         rows["rep"].to_numpy(np.int64),
         vectors,
-        shard.postings,
-        shard.ends,
+        *postings(vectors),
     )
     names = [column.split()[0] for column in _INDEX.split(", ")]
     return pd.DataFrame([(rows["shard"].iloc[0], *(x.tobytes() for x in flat))], columns=names)
@@ -130,12 +140,12 @@ def _search(k: int):
         for row in iv.rows_of(parts):
             nodes, reps = np.frombuffer(row.nodes, np.int64), np.frombuffer(row.reps, np.int64)
             held = np.frombuffer(row.vectors, np.int64).reshape(len(nodes), -1)
-            ends = np.frombuffer(row.ends, np.int64)
-            shard = Shard(held, np.frombuffer(row.postings, np.int32), ends)
             vectors, queries = iv.as_exact(held, iv.matrix([q["v"] for q in row.queries]))
+            listed = np.frombuffer(row.postings, np.int32), np.frombuffer(row.ends, np.int64)
+            shard = Shard(vectors, *listed)
             found = []
             for asked, query in zip(row.queries, queries):
-                rows = competitive(shard, vectors, query, k)
+                rows = competitive(shard, query, k)
                 score = vectors[rows] @ query
                 best = np.argsort(-score, kind="stable")[:k]  # rows are in order of rep
                 found.append((asked["node"], rows[best], score[best]))

@@ -103,8 +103,8 @@ def test_searches_read_less_than_everything():
     v = draw.integers(0, 40, (4000, 8)) * (draw.random((4000, 8)) < 0.2)
     v[:30] = draw.integers(200, 256, (30, 8))
     query = np.full(8, 7.0)
-    shard = maxscore.Shard.of(v)
-    rows = maxscore.competitive(shard, v.astype(float), query, 5)
+    shard = maxscore.Shard(v.astype(float), *maxscore.postings(v))
+    rows = maxscore.competitive(shard, query, 5)
     best = np.sort(v @ query)[-5:]
     assert len(rows) < 40 and set(np.flatnonzero(v @ query >= best[0])) <= set(rows)
     order = np.argsort(v, axis=0, kind="stable").T
