@@ -1,4 +1,5 @@
-"""Command line: run the warehouse, profile what was landed, or test its age."""
+"""Command line: run the warehouse, add a batch, verify or expire what is published, profile
+what was landed, or test its age."""
 
 from __future__ import annotations
 
@@ -11,8 +12,11 @@ from pyspark.sql import SparkSession
 
 from siftledger.plans import checks, marts, profiling, quality
 from siftledger.plans.checks import Severity
-from siftledger.plans.run import Options, attach, run
+from siftledger.plans.batches import BATCHED, land_batch
+from siftledger.plans.run import PUBLISHED, Options, attach, expire, run
+from siftledger.plans.verify import verify
 from siftledger.session import configured
+from siftledger.sinks.snapshots import Snapshots
 from siftledger.sinks.warehouse import Warehouse
 
 
@@ -35,6 +39,25 @@ def parser() -> argparse.ArgumentParser:
     runs.add_argument("--multi-line", action="store_true", help="quoted fields hold line breaks")
     runs.add_argument("--keep-going", action="store_true", help="failed tests do not fail the run")
 
+    runs.add_argument(
+        "--hold-failing", action="store_true", help="publish nothing if tests fail"
+    )
+
+    adds = commands.add_parser("batch", help="land the new files of a folder and add their rows")
+    adds.add_argument("source", help="folder of delimited files")
+    adds.add_argument("root", help="warehouse folder")
+    adds.add_argument("--batch", default=None, help="name of the batch; letters, digits, . _ -")
+    adds.add_argument("--spine-start", default=marts.SPINE_START)
+    adds.add_argument("--spine-end", default=marts.SPINE_END)
+
+    proofs = commands.add_parser("verify", help="test that published files are as committed")
+    proofs.add_argument("root", help="warehouse folder")
+    proofs.add_argument("--snapshot", type=int, default=None, help="number; the last by default")
+
+    ends = commands.add_parser("expire", help="remove files that only old snapshots name")
+    ends.add_argument("root", help="warehouse folder")
+    ends.add_argument("--keep", type=int, required=True, help="snapshots that stay")
+
     asks = commands.add_parser("profile", help="answer the profiling questions on the landed rows")
     asks.add_argument("root", help="warehouse folder")
     asks.add_argument("--rows", type=int, default=20, help="rows of each stored answer to print")
@@ -48,7 +71,15 @@ def main(argv: list[str] | None = None) -> None:
     given = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = configured(SparkSession.builder.appName("siftledger")).getOrCreate()
-    {"run": _run, "profile": _profile, "freshness": _freshness}[given.command](spark, given)
+    actions = {
+        "run": _run,
+        "batch": _batch,
+        "verify": _verify,
+        "expire": _expire,
+        "profile": _profile,
+        "freshness": _freshness,
+    }
+    actions[given.command](spark, given)
 
 
 def _run(spark: SparkSession, given: argparse.Namespace) -> None:
@@ -64,11 +95,39 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> None:
             quarantine_severity=Severity(warn_above=0, fail_from=given.quarantine_fail_from),
             multi_line=given.multi_line,
             strict=not given.keep_going,
+            publish_failing=not given.hold_failing,
         ),
     )
     result.summary.show(result.summary.count(), truncate=False)
 
 
+def _batch(spark: SparkSession, given: argparse.Namespace) -> None:
+    snapshot = land_batch(
+        spark,
+        given.source,
+        given.root,
+        given.batch or uuid.uuid4().hex,
+        datetime.now(timezone.utc),
+        Options(spine=(given.spine_start, given.spine_end)),
+    )
+    print("no new files" if snapshot is None else f"snapshot {snapshot.number}")
+
+
+def _verify(spark: SparkSession, given: argparse.Namespace) -> None:
+    snapshot = Snapshots(spark, given.root).open(given.snapshot)
+    found = verify(snapshot, list({r.full_name: r for r in (*PUBLISHED, *BATCHED) if snapshot.parts_of(r)}.values()))
+    rows = found.orderBy("ok", "item").collect()  # a line per table part and condition
+    for row in rows:
+        print("ok   " if row["ok"] else "WRONG", row["item"], row["expected"], row["found"])
+    if not all(row["ok"] for row in rows):
+        raise SystemExit(1)
+
+
+def _expire(spark: SparkSession, given: argparse.Namespace) -> None:
+    numbers, paths = expire(spark, given.root, given.keep)
+    print(f"{len(numbers)} snapshots and {len(paths)} folders removed")
+
+
 def _profile(spark: SparkSession, given: argparse.Namespace) -> None:
     published = attach(spark, given.root)
     store = Warehouse(spark, given.root, published.run_id)  # an attempt of its own

@@ -91,9 +91,13 @@ def sales_by_product(fact: DataFrame, products: DataFrame) -> DataFrame:
     row per product instead of one per transaction. Those rows are written once: they
     give both the result and the grand total, and the fact is scanned a single time.
     """
+    return product_sales(product_totals(fact), products)
+
+
+def product_sales(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Names, average prices and revenue shares for the rows of :func:`product_totals`."""
     named = materialise(
-        product_totals(fact).join(products.select("product_id", "product_name"), "product_id"),
-        "product-totals",
+        totals.join(products.select("product_id", "product_name"), "product_id"), "product-totals"
     )
     revenue = named.agg(F.sum("total_amount")).scalar()
     return named.select(

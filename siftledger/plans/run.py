@@ -18,6 +18,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from siftledger import schemas
+from siftledger.operators import key_counts
 from siftledger.plans import aggregates, checks, marts, quality, staging
 from siftledger.plans.checks import Check, Severity
 from siftledger.session import shuffles_sized_for
@@ -75,6 +76,8 @@ class Options:
     strict: bool = True
     # Whether tables are published although tests of error severity failed.
     publish_failing: bool = True
+    # Buckets of the id counts that batches keep; the same for all batches of a warehouse.
+    index_buckets: int = key_counts.BUCKETS
 
 
 @dataclass(frozen=True)

@@ -317,4 +317,64 @@ SALES_BY_PRODUCT = Relation(
     ),
 )
 
+# What batches keep beside the marts.
+
+LANDED_FILES = Relation(
+    "raw",
+    "landed_files",
+    "One row per source file that a batch has landed.",
+    T.StructType(
+        [
+            field("path", _string, "Where the file was."),
+            field("name", _string, "Base name, as in _source_file."),
+            field("size", _long, "Bytes."),
+            field("modified_at", _stamp, "Last change of the file."),
+            field("n_rows", _long, "Records without the header, counted apart from landing."),
+            field("batch", _string, "Batch that landed it."),
+        ]
+    ),
+)
+
+ID_INDEX = Relation(
+    "staging",
+    "transaction_id_counts",
+    "Rows per typed transaction id over all batches.",
+    T.StructType(
+        [
+            field("transaction_id", _long, "Typed id."),
+            field("n_rows", _long, "Rows that hold it."),
+            field("n_added", _long, "Those of them that the last batch brought."),
+            field("first_batch", _string, "Batch that brought the first."),
+        ]
+    ),
+    primary_key="transaction_id",
+)
+
+PRODUCT_NAMES = Relation(
+    "staging",
+    "product_names",
+    "Valid rows per product id and name.",
+    T.StructType(
+        [
+            field("product_id", _long, "Product key."),
+            field("product_name", _string, "Product name."),
+            field("n_rows", _long, "Valid rows."),
+        ]
+    ),
+)
+
+PRODUCT_TOTALS = Relation(
+    "staging",
+    "product_totals",
+    "Sums per product that batches add to and take from.",
+    T.StructType(
+        [
+            field("product_id", _long, "Product key."),
+            field("num_transactions", _long, "Transactions."),
+            *_measures,
+            field("price_sum", _tax_summed, "Sum of unit prices."),
+        ]
+    ),
+)
+
 CONTRACTS = tuple(r for r in (DIM_PRODUCT, DIM_CUSTOMER, DIM_DATE, FACT) if r.enforced)

@@ -1,7 +1,7 @@
 """Published snapshots in the session's catalog: typed, partitioned, switched in one step.
 
 For each relation an external table ``<name>__files`` holds the declared columns with their
-comments, partitioned by snapshot number and the relation's partition column; publishing
+comments, partitioned by snapshot number, piece and the relation's partition column; publishing
 adds the new snapshot's files as partitions, which nobody reads yet. The relation itself is
 a view on the rows of the number that the view ``analytics.current_snapshot`` gives. That
 view is one row, so its number becomes a constant of every plan, prunes partitions, and
@@ -38,9 +38,7 @@ class Catalog:
         ``queries`` are views defined by SQL over relations. A catalog that shows another
         folder lets go of its tables first.
         """
-        for name in NAMESPACES:
-            location = text(f"{self.root}/{name}")
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {location}")
+        self.namespaces()
         shown = self.current()
         if shown is not None and shown[1] != self.root:
             self._forget(relations)
@@ -53,6 +51,11 @@ class Catalog:
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
         self._switch(snapshot.number)
 
+    def namespaces(self) -> None:
+        for name in NAMESPACES:
+            location = text(f"{self.root}/{name}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION {location}")
+
     def show_log(self, relation: Relation, location: str) -> None:
         """A view on files that grow from run to run, outside the snapshots."""
         self._define(relation, relation.schema.names, f"parquet.`{location}`")
@@ -65,10 +68,19 @@ class Catalog:
 
     def forget(self, numbers: Iterable[int], relations: Sequence[Relation]) -> None:
         """Let go of expired snapshots; files are not touched."""
-        specs = ", ".join(f"PARTITION (snapshot = {n})" for n in numbers)
-        for relation in relations if specs else ():
-            if self.spark.catalog.tableExists(files_of(relation)):
-                self.spark.sql(f"ALTER TABLE {files_of(relation)} DROP IF EXISTS {specs}")
+        gone = {str(n) for n in numbers}
+        for relation in relations if gone else ():
+            if not self.spark.catalog.tableExists(files_of(relation)):
+                continue
+            # A line like snapshot=1/piece=0/month=2024-01-01 for every folder of a snapshot.
+            lines = self.spark.sql(f"SHOW PARTITIONS {files_of(relation)}").collect()
+            specs = []
+            for line in lines:
+                number, piece, *value = [key.split("=", 1)[1] for key in line[0].split("/")]
+                if number in gone:
+                    specs.append(f"PARTITION ({_spec(relation, int(number), int(piece), *value)})")
+            if specs:
+                self.spark.sql(f"ALTER TABLE {files_of(relation)} DROP IF EXISTS {', '.join(specs)}")
 
     def _forget(self, relations: Sequence[Relation]) -> None:
         self.spark.sql(f"DROP VIEW {CURRENT}")
@@ -81,10 +93,11 @@ class Catalog:
         )
 
     def _register(self, snapshot: Snapshot, relation: Relation) -> None:
-        keys = ["snapshot"] + ([relation.partition.name] if relation.partition else [])
+        keys = ["snapshot", "piece"] + ([relation.partition.name] if relation.partition else [])
         columns = [f for f in relation.stored_schema if f.name not in keys]
         declared = [f"`{f.name}` {f.dataType.simpleString()}{_comment(f)}" for f in columns]
         declared.append("snapshot BIGINT COMMENT 'Number of the snapshot.'")
+        declared.append("piece INT COMMENT 'Number of the folder within the snapshot.'")
         if relation.partition:
             part = relation.partition
             declared.append(f"`{part.name}` {part.dataType.simpleString()}{_comment(part)}")
@@ -94,10 +107,8 @@ class Catalog:
             f"LOCATION {text(f'{self.root}/{relation.namespace}/{relation.name}')}"
         )
         added = []
-        for part in snapshot.parts_of(relation):
-            spec = f"snapshot = {snapshot.number}"
-            if relation.partition:
-                spec += f", {relation.partition.name} = {_constant(relation, part.part)}"
+        for piece, part in enumerate(snapshot.parts_of(relation)):
+            spec = _spec(relation, snapshot.number, piece, part.part)
             added.append(f"PARTITION ({spec}) LOCATION {text(f'{self.root}/{part.path}')}")
         if added:
             self.spark.sql(f"ALTER TABLE {files_of(relation)} ADD IF NOT EXISTS {' '.join(added)}")
@@ -135,10 +146,14 @@ def with_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return fact.join(days, ["date_key", "month"])
 
 
-def _constant(relation: Relation, value: str) -> str:
-    """A partition value as a literal of its type."""
+def _spec(relation: Relation, number: int, piece: int, value: str | None = None) -> str:
+    """The partition of a folder, with its value as a literal of its type."""
+    spec = f"snapshot = {number}, piece = {piece}"
+    if relation.partition is None:
+        return spec
     kind = relation.partition.dataType.simpleString()
-    return {"boolean": value, "date": f"DATE{text(value)}"}.get(kind, text(value))
+    literal = {"boolean": value, "date": f"DATE{text(value)}"}.get(kind, text(value))
+    return f"{spec}, {relation.partition.name} = {literal}"
 
 
 def _comment(field) -> str:

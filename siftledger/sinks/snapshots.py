@@ -11,8 +11,8 @@ so stored files can be verified later.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
+from dataclasses import astuple, dataclass
 from datetime import datetime
 from decimal import Decimal
 
@@ -25,7 +25,7 @@ from siftledger.session import remove
 
 MANIFEST = (
     "snapshot long, committed_at timestamp, run_id string, version string, table string, "
-    "part string, path string, n_rows long, fingerprint decimal(38, 0)"
+    "part string, batch string, path string, n_rows long, fingerprint decimal(38, 0)"
 )
 # What a table's rows add up to; rows in another order give the same.
 MEASURED = ("n_rows", "fingerprint")
@@ -37,10 +37,12 @@ class StaleBase(RuntimeError):
 
 @dataclass(frozen=True)
 class Part:
-    """Files of a table: all of it (``part`` None), or those of one partition value."""
+    """Files of a table: those of one partition value (``part`` None: not divided), written
+    for one batch of source rows."""
 
     table: str
     part: str | None
+    batch: str
     path: str
     n_rows: int
     fingerprint: Decimal
@@ -55,6 +57,18 @@ def measures(columns: Sequence[str]) -> list[Column]:
     ]
 
 
+def read_parts(
+    spark: SparkSession, root: str, relation: Relation, parts: Iterable[Part]
+) -> DataFrame:
+    """The rows of ``parts``: declared columns and partition column, typed as declared."""
+    paths = [f"{root}/{p.path}" for p in parts]
+    schema = relation.stored_schema
+    if not paths:
+        return spark.createDataFrame([], schema)
+    base = f"{root}/{relation.namespace}/{relation.name}"
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """What was published under one number."""
@@ -75,13 +89,14 @@ class Snapshot:
         A filter on the partition column leaves out whole parts. ``parts`` restricts what
         is read, to those of :meth:`parts_of`.
         """
-        paths = [f"{self.root}/{p.path}" for p in (self.parts_of(relation) if parts is None else parts)]
-        schema = relation.stored_schema
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        base = f"{self.root}/{relation.namespace}/{relation.name}"
-        stored = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return stored.select(*schema.names)
+        return read_parts(
+            self.spark, self.root, relation, self.parts_of(relation) if parts is None else parts
+        )
+
+    def files(self, relation: Relation) -> DataFrame:
+        """The relation as a plain scan, with Spark's ``_metadata`` of each row's file."""
+        paths = [f"{self.root}/{p.path}" for p in self.parts_of(relation)]
+        return self.spark.read.schema(relation.schema).parquet(*paths)
 
     def measured(self, relation: Relation) -> DataFrame:
         """part, n_rows and fingerprint of what is stored now."""
@@ -130,10 +145,15 @@ class Snapshots:
             asked = f" for {run_id}" if run_id else "" if number is None else f" as {number}"
             raise FileNotFoundError(f"nothing published under {self.root}{asked}")
         parts = tuple(
-            Part(r["table"], r["part"], r["path"], r["n_rows"], r["fingerprint"]) for r in rows
+            Part(*(r[name] for name in ("table", "part", "batch", "path", *MEASURED))) for r in rows
         )
         return Snapshot(self.spark, self.root, chosen, rows[0]["run_id"], rows[0]["version"], parts)
 
+    def last(self) -> Snapshot:
+        """The last snapshot; before the first, one with number 0 and no parts."""
+        number = self.latest()
+        return Snapshot(self.spark, self.root, 0, "", "", ()) if number is None else self.open(number)
+
     def commit(
         self,
         parts: Sequence[Part],
@@ -148,12 +168,11 @@ class Snapshots:
         any more, the commit is refused instead of undoing another's.
         """
         last = self.latest()
-        if base is not None and base != last:
+        if base is not None and base != (last or 0):
             raise StaleBase(f"based on snapshot {base}, but {last} is published under {self.root}")
         number = (last or 0) + 1
         rows = [
-            (number, committed_at, run_id, version, p.table, p.part, p.path, p.n_rows, p.fingerprint)
-            for p in parts
+            (number, committed_at, run_id, version, *astuple(p)) for p in parts
         ]
         manifest = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
         manifest.write.mode("append").parquet(self.folder)  # one file: one rename
@@ -179,7 +198,3 @@ class Snapshots:
         remove(self.spark, *(f"{self.root}/{path}" for path in gone))
         return sorted(old), gone
 
-
-def replaced(parts: Iterable[Part], new: Mapping[str, Iterable[Part]]) -> list[Part]:
-    """``parts`` with those of each table in ``new`` replaced."""
-    return [p for p in parts if p.table not in new] + [p for ps in new.values() for p in ps]

@@ -19,8 +19,19 @@ from pyspark.sql import types as T
 
 from siftledger.plans.quality import not_yet_recorded
 from siftledger.schemas import Relation
+from siftledger.session import materialise
 from siftledger.sinks.catalog import Catalog
-from siftledger.sinks.snapshots import MEASURED, Part, Snapshot, Snapshots, measures
+from siftledger.sinks.snapshots import (
+    MEASURED,
+    Part,
+    Snapshot,
+    Snapshots,
+    measures,
+    read_parts,
+)
+
+# Spark's folder for rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Warehouse:
@@ -61,20 +72,27 @@ class Warehouse:
         return stored.select(*schema.names)
 
     def store(
-        self, relation: Relation, df: DataFrame, counted: Mapping[str, Column] | None = None
+        self,
+        relation: Relation,
+        df: DataFrame,
+        counted: Mapping[str, Column] | None = None,
+        kept: Sequence[Part] = (),
     ) -> DataFrame:
-        """Write a relation of this run and return its declared columns as stored.
+        """Write rows of a relation and return its declared columns as they are then.
 
         Rows, fingerprint and the ``counted`` aggregates (by name, into :attr:`counted`)
         are observed on the rows as they are written, without a scan of their own. Only
         parts that are not two are measured afterwards, which also reads them back.
+        ``kept`` parts, of an earlier snapshot, belong to the relation besides.
         """
         names, part = relation.schema.names, relation.partition
         target = self.path(relation.namespace, relation.name)
-        rows = df.select(*names)
+        rows = df
         if relation.partition_sql is not None:
             rows = rows.withColumn(part.name, F.expr(relation.partition_sql))
-            # Few files a month, large months in several tasks.
+        rows = rows.select(*relation.stored_schema.names)
+        if part is not None and not isinstance(part.dataType, T.BooleanType):
+            # Few files a part, large parts in several tasks.
             rows = rows.hint("rebalance", part.name)
         two_parts = part is not None and isinstance(part.dataType, T.BooleanType)
         wanted = {f"_{i}": measure for i, measure in enumerate((counted or {}).values())}
@@ -102,17 +120,78 @@ class Warehouse:
             measured = [(None, *(observed[m] for m in MEASURED))]
         else:
             measured = self.measured_parts(relation, target)
-        self.parts[relation.full_name] = [
-            Part(relation.full_name, p, folder if p is None else f"{folder}/{part.name}={p}", n, x)
+        written = [
+            Part(
+                relation.full_name,
+                p,
+                self.run_id,
+                folder if p is None else f"{folder}/{part.name}={p}",
+                n,
+                x,
+            )
             for p, n, x in measured
             if p is None or n
         ]
-        return self.read(relation.namespace, relation.name, relation.schema)
+        self.parts[relation.full_name] = [*kept, *written]
+        return self.current(relation).select(*names)
+
+    def current(self, relation: Relation) -> DataFrame:
+        """A relation that this run has stored, with its partition column."""
+        return read_parts(self.spark, self.root, relation, self.parts[relation.full_name])
+
+    def added(self, relation: Relation) -> DataFrame:
+        """The rows of a relation that this run itself has stored."""
+        own = [p for p in self.parts[relation.full_name] if p.batch == self.run_id]
+        return read_parts(self.spark, self.root, relation, own).select(*relation.schema.names)
+
+    def note(self, relation: Relation) -> None:
+        """Take up a relation that was written at its path by other means."""
+        path = self.path(relation.namespace, relation.name)
+        stored = self.spark.read.schema(relation.schema).parquet(path)
+        measured = stored.agg(*measures(relation.schema.names)).first()
+        folder = f"{relation.namespace}/{relation.name}/{self.version}"
+        part = Part(relation.full_name, None, self.run_id, folder, *measured)
+        self.parts[relation.full_name] = [part]
+
+    def upsert(
+        self,
+        relation: Relation,
+        changes: DataFrame,
+        base: Snapshot,
+        counted: Mapping[str, Column] | None = None,
+        keys_move: bool = True,
+    ) -> list[str]:
+        """Merge ``changes`` into the relation of ``base``; the parts that were written anew.
+
+        ``changes``: the declared columns, ``_deleted`` and ``_order``; see
+        :func:`latest_changes`. Only parts that hold a changed key or receive one are read in
+        full and written; the others stay as they are. To find the parts that hold one, the
+        key column is read, unless ``keys_move`` says that changes name the part of the
+        row that they replace or delete.
+        """
+        key, part = relation.primary_key, relation.partition
+        latest = materialise(latest_changes(changes, key), "changes")
+        received = latest.where("NOT _deleted")
+        keys = latest.select(key)
+        named = latest if not keys_move else received
+        parts_of = named.select(F.expr(relation.partition_sql).alias(part.name))
+        if keys_move:
+            held = base.read(relation).select(key, part.name).join(keys, key, "left_semi")
+            parts_of = parts_of.union(held.select(part.name))
+        found = parts_of.distinct().select(F.col(part.name).cast("string")).collect()
+        touched = {r[0] for r in found}
+        parts = base.parts_of(relation)
+        before = base.read(relation, [p for p in parts if p.part in touched])
+        merged = before.select(*relation.schema.names).join(keys, key, "left_anti")
+        merged = merged.unionByName(received.select(*relation.schema.names))
+        self.store(relation, merged, counted, [p for p in parts if p.part not in touched])
+        return sorted(touched)
 
     def measured_parts(self, relation: Relation, target: str) -> list[tuple]:
         """Part, rows and fingerprint of stored files, from a scan; a row per partition value."""
         stored = self.spark.read.schema(relation.stored_schema).parquet(target)
-        by_part = stored.groupBy(F.col(relation.partition.name).cast("string").alias("part"))
+        value = F.col(relation.partition.name).cast("string")
+        by_part = stored.groupBy(F.coalesce(value, F.lit(NO_VALUE)).alias("part"))
         return [tuple(r) for r in by_part.agg(*measures(relation.schema.names)).collect()]
 
     # Tables that grow from run to run
@@ -166,6 +245,17 @@ class Warehouse:
             self.catalog.show_log(relation, self.log_path(relation.namespace, relation.name))
 
 
+def latest_changes(changes: DataFrame, key: str) -> DataFrame:
+    """The last change of each key by ``_order``; of two in one place, a deletion, then any.
+
+    A key that comes twice with the same row, or was deleted before it came, is no error.
+    """
+    columns = [c for c in changes.columns if c not in (key, "_order", "_deleted")]
+    change = F.struct("_order", "_deleted", *columns)
+    last = changes.groupBy(key).agg(F.max(change).alias("_last"))
+    return last.select(key, "_last._deleted", *[f"_last.{c}" for c in columns])
+
+
 def _measures_where(condition: Column, columns: Sequence[str]) -> list[Column]:
     """The measures of the rows for which ``condition`` holds."""
     hashed = F.when(condition, F.xxhash64(*columns)).cast("decimal(20, 0)")

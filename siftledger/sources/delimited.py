@@ -9,13 +9,16 @@ quoted fields may hold line breaks; without it such a row stops the load as ragg
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftledger.schemas import RAW_COLUMNS, SOURCE_SCHEMA
+from siftledger.session import materialise
 
 # NUL cannot occur in text, so no value is mistaken for the NULL marker.
 _NULL_MARK = "\u0000"
@@ -62,25 +65,51 @@ def count_data_rows(spark: SparkSession, path: str, multi_line: bool = False) ->
     The scan also stops at any file whose header, names trimmed, is not the expected
     one. It keeps ragged rows, so it does not share the landing's way of failing.
     """
-    scan = (
+    with _exact_names(spark):
+        return _counting_scan(spark, path, multi_line).count()
+
+
+def count_rows_by_file(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = False
+) -> DataFrame:
+    """path and n_rows of every file with records, like :func:`count_data_rows`; stored."""
+    with _exact_names(spark):
+        scan = _counting_scan(spark, list(paths), multi_line)
+        by_file = scan.groupBy(decoded(F.col("_metadata.file_path")).alias("path"))
+        return materialise(by_file.agg(F.count("*").alias("n_rows")), "rows-by-file")
+
+
+def decoded(name: Column) -> Column:
+    """A file name or path as it is; Spark's metadata give it percent-encoded."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _counting_scan(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
+    return (
         _reader(spark, multi_line)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", False)
         .option("columnPruning", False)  # the header is compared with all columns
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
+        .csv(path)
     )
+
+
+@contextmanager
+def _exact_names(spark: SparkSession) -> Iterator[None]:
+    """Within the block, headers are compared letter for letter."""
     exact = "spark.sql.caseSensitive"
     before = spark.conf.get(exact)
     spark.conf.set(exact, "true")
     try:
-        return scan.csv(path).count()
+        yield
     finally:
         spark.conf.set(exact, before)
 
 
 def read_source(
-    spark: SparkSession, path: str, run_ts: datetime, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], run_ts: datetime, multi_line: bool = False
 ) -> DataFrame:
     """The source as text columns, with the load time and each row's file name.
 
@@ -93,7 +122,7 @@ def read_source(
         .select(
             *RAW_COLUMNS,
             F.lit(run_ts).cast("timestamp").alias("_ingested_at"),
-            F.col("_metadata.file_name").alias("_source_file"),
+            decoded(F.col("_metadata.file_name")).alias("_source_file"),
         )
     )
 

@@ -1,0 +1,262 @@
+"""Snapshots: one step for all tables, pinned readers, expiry, upserts, verification."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timezone
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from siftledger import __main__ as command
+from siftledger import schemas
+from siftledger.plans import marts
+from siftledger.plans.run import ChecksFailed, Options, attach, expire, run
+from siftledger.plans.verify import verify, verify_files
+from siftledger.sinks.catalog import CURRENT, with_calendar
+from siftledger.sinks.snapshots import Snapshots, StaleBase
+from siftledger.sinks.warehouse import Warehouse, latest_changes
+
+FACT, PRODUCT, CALENDAR = schemas.FACT, schemas.DIM_PRODUCT, schemas.DIM_DATE
+NOW = datetime(2024, 1, 2, tzinfo=timezone.utc)
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    """Fact rows from (transaction_id, day, quantity)."""
+
+    def build(*rows):
+        whole = [
+            (i, 7, 1, int(day.replace("-", "")), date.fromisoformat(day), n, Decimal(2), Decimal(2 * n),
+             Decimal(1), Decimal(2 * n + 1), False, NOW)
+            for i, day, n in rows
+        ]
+        return spark.createDataFrame(whole, FACT.schema)
+
+    return build
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), PRODUCT.schema)
+
+
+ROWS = [(1, "2024-01-05", 1), (2, "2024-01-20", 2), (3, "2024-02-01", 3), (4, "2024-03-31", 4)]
+
+
+def publish(spark, root, run_id, tables, base=None):
+    warehouse = Warehouse(spark, root, run_id)
+    for relation, df in tables.items():
+        warehouse.store(relation, df)
+    kept = [r for r in (FACT, PRODUCT) if base is not None and base.parts_of(r) and r not in tables]
+    return warehouse.publish([*tables, *kept], {}, base)
+
+
+def ids(df):
+    return sorted(r["transaction_id"] for r in df.select("transaction_id").collect())
+
+
+def test_all_tables_move_in_one_step(spark, facts, products, tmp_path, monkeypatch):
+    """Until the switch, readers of both tables see the old ones; after it, both new."""
+    root = str(tmp_path / "w")
+    old = publish(spark, root, "a", {FACT: facts(*ROWS), PRODUCT: products((1, "one"))})
+    both = "SELECT f.transaction_id, p.product_name FROM analytics.fct_transactions f JOIN analytics.dim_product p ON p.product_id = f.customer_id - 6"
+    seen = []
+    warehouse = Warehouse(spark, root, "b")
+    switch = type(warehouse.catalog)._switch
+
+    def watched(catalog, number):
+        seen.append(sorted(map(tuple, spark.sql(both).collect())))
+        switch(catalog, number)
+
+    monkeypatch.setattr(type(warehouse.catalog), "_switch", watched)
+    warehouse.store(FACT, facts((9, "2024-05-05", 1)))
+    warehouse.store(PRODUCT, products((1, "uno")))
+    new = warehouse.publish([FACT, PRODUCT], {})
+    assert seen == [[(i, "one") for i in range(1, 5)]]
+    assert sorted(map(tuple, spark.sql(both).collect())) == [(9, "uno")]
+    assert tuple(spark.table(CURRENT).first()) == (new.number, root)
+    # An open snapshot stays what it was, and can be asked for by number.
+    assert ids(old.read(FACT)) == [1, 2, 3, 4]
+    assert ids(spark.table("analytics.fct_transactions__files").where(f"snapshot = {old.number}")) == [1, 2, 3, 4]
+    assert ids(Snapshots(spark, root).open().read(FACT)) == [9]
+    assert Snapshots(spark, root).open(run_id="a").number == old.number
+
+
+def test_a_crash_between_commit_and_switch_heals(spark, facts, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    publish(spark, root, "a", {FACT: facts(*ROWS)})
+    warehouse = Warehouse(spark, root, "b")
+    warehouse.store(FACT, facts((9, "2024-05-05", 1)))
+    with monkeypatch.context() as broken:
+        broken.setattr(type(warehouse.catalog), "show", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            warehouse.publish([FACT], {})
+    assert ids(spark.table("analytics.fct_transactions")) == [1, 2, 3, 4]
+    last = Snapshots(spark, root).open()
+    warehouse.catalog.show(last, [FACT])
+    assert ids(spark.table("analytics.fct_transactions")) == [9]
+
+
+def test_a_month_filter_reads_that_month(spark, facts, tmp_path):
+    root = str(tmp_path / "w")
+    calendar = marts.dim_date(spark, "2024-01-01", "2025-01-01")
+    publish(spark, root, "a", {FACT: facts(*ROWS), CALENDAR: calendar})
+    fact = spark.table("analytics.fct_transactions")
+    january = fact.where("month = DATE'2024-01-01'")
+    assert sorted(Path(f).parent.name for f in set(january.inputFiles())) == ["month=2024-01-01"]
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot" in plan and "Subquery" not in plan
+    assert ids(january) == [1, 2]
+    # Through the calendar: the months are pruned when the days are known.
+    spring = with_calendar(fact, spark.table("analytics.dim_date").where("month_name = 'Mar'"))
+    assert "dynamicpruning" in spring._jdf.queryExecution().toString()
+    assert ids(spring) == [4]
+    described = {r.col_name: r.comment for r in spark.sql("DESCRIBE analytics.fct_transactions__files").collect()}
+    assert described["month"] == FACT.partition.metadata["comment"]
+
+
+def test_upsert_writes_touched_months_only(spark, facts, tmp_path):
+    root = str(tmp_path / "w")
+    base = publish(spark, root, "a", {FACT: facts(*ROWS)})
+    changes = facts((2, "2024-02-02", 20), (3, "2024-02-01", 3), (5, "2024-02-09", 5), (8, "2024-12-01", 1))
+    changes = changes.withColumns({"_deleted": F.lit(False), "_order": F.lit(1)})
+    late = facts((5, "2024-02-10", 50), (8, "2024-12-01", 1), (77, "2024-12-01", 1)).withColumns(
+        {"_deleted": F.col("transaction_id") > 7, "_order": F.lit(2)}
+    )
+    warehouse = Warehouse(spark, root, "b")
+    touched = warehouse.upsert(FACT, changes.unionByName(late), base)
+    new = warehouse.publish([FACT], {}, base)
+    assert touched == ["2024-01-01", "2024-02-01"]
+    found = {r["transaction_id"]: (str(r["transaction_date"]), r["quantity"]) for r in new.read(FACT).collect()}
+    assert found == {1: ("2024-01-05", 1), 2: ("2024-02-02", 20), 3: ("2024-02-01", 3),
+                     4: ("2024-03-31", 4), 5: ("2024-02-10", 50)}
+    paths = {p.part: p.path for p in new.parts_of(FACT)}
+    before = {p.part: p.path for p in base.parts_of(FACT)}
+    assert paths["2024-03-01"] == before["2024-03-01"] and set(paths) == set(before)
+    assert all(paths[m] != before[m] for m in touched)
+    assert verify_files(new, [FACT]).where("NOT ok").isEmpty()
+
+
+def test_latest_change_of_a_key(spark):
+    rows = [(1, "a", False, 1), (1, "b", False, 2), (2, "a", False, 1), (2, None, True, 2),
+            (3, "a", True, 1), (3, "z", False, 1), (4, None, False, 0), (4, None, False, 0)]
+    df = spark.createDataFrame(rows, "id long, x string, _deleted boolean, _order int")
+    found = {r["id"]: (r["x"], r["_deleted"]) for r in latest_changes(df, "id").collect()}
+    assert found == {1: ("b", False), 2: (None, True), 3: ("a", True), 4: (None, False)}
+    assert latest_changes(df.limit(0), "id").count() == 0
+
+
+def test_a_stale_base_is_refused(spark, facts, tmp_path):
+    root = str(tmp_path / "w")
+    base = publish(spark, root, "a", {FACT: facts(*ROWS)})
+    publish(spark, root, "b", {FACT: facts(*ROWS[:1])}, base)
+    with pytest.raises(StaleBase):
+        publish(spark, root, "c", {FACT: facts(*ROWS[:2])}, base)
+    assert ids(Snapshots(spark, root).open().read(FACT)) == [1]
+
+
+def folders(root):
+    return {str(p.parent.relative_to(root)) for p in Path(root, "analytics").rglob("*.parquet")}
+
+
+def test_expiry_keeps_what_a_kept_snapshot_names(spark, facts, products, tmp_path):
+    root = str(tmp_path / "w")
+    first = publish(spark, root, "a", {FACT: facts(*ROWS), PRODUCT: products((1, "one"))})
+    warehouse = Warehouse(spark, root, "b")
+    changes = facts((2, "2024-01-20", 9)).withColumns({"_deleted": F.lit(False), "_order": F.lit(1)})
+    warehouse.upsert(FACT, changes, first)
+    second = warehouse.publish([FACT, PRODUCT], {}, first)
+    third = publish(spark, root, "c", {PRODUCT: products((1, "uno"))}, second)
+    with pytest.raises(ValueError):
+        Snapshots(spark, root).expire(0)
+    assert Snapshots(spark, root).expire(9) == ([], [])
+    numbers, gone = expire(spark, root, keep=1)
+    assert numbers == [first.number, second.number]
+    assert {Path(p).parts[1] for p in gone} == {"fct_transactions", "dim_product"} and len(gone) == 2
+    assert folders(root) == {p.path for p in third.parts}
+    assert ids(spark.table("analytics.fct_transactions")) == [1, 2, 3, 4]
+    assert spark.table("analytics.fct_transactions__files").select("snapshot").distinct().count() == 1
+    with pytest.raises(FileNotFoundError):
+        Snapshots(spark, root).open(first.number)
+    assert verify_files(third, [FACT, PRODUCT]).where("NOT ok").isEmpty()
+
+
+LINES = [f"{i},5.0,2024-0{1 + i % 2}-0{i},7,Widget,1.0,2.00,0.10" for i in range(1, 6)] + ["x,,,,,,,"]
+
+
+def feed_file(folder, lines):
+    folder.mkdir(exist_ok=True)
+    path = folder / "a.csv"
+    path.write_text("\n".join([",".join(schemas.RAW_COLUMNS), *lines]) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_verify_finds_damage(spark, tmp_path, capsys):
+    """A changed value, a lost row, a damaged file and a lost file; sound files pass."""
+    root = str(tmp_path / "w")
+    run(spark, feed_file(tmp_path / "in", LINES), root, "a", NOW)
+    command.main(["verify", root])
+    assert "one_unknown_customer" in capsys.readouterr().out
+    snapshot = Snapshots(spark, root).open()
+    assert verify(snapshot, [FACT, schemas.STAGED, schemas.MONTHLY_SALES]).where("NOT ok").isEmpty()
+    part = next(p for p in snapshot.parts_of(FACT) if p.part == "2024-01-01")
+    target = Path(root, part.path)
+    stored = spark.read.parquet(str(target))
+    damaged = stored.withColumn("quantity", F.col("quantity") + (F.col("transaction_id") == 2).cast("int"))
+    damaged.write.parquet(str(tmp_path / "damaged"))
+    kept = {p: p.read_bytes() for p in target.glob("*.parquet")}
+
+    def swap(files):
+        for p in target.iterdir():
+            p.unlink()
+        for name, content in files.items():
+            (target / name).write_bytes(content)
+        spark.catalog.refreshByPath(root)
+        return {r["item"]: (r["expected"], r["found"]) for r in verify(snapshot, [FACT]).where("NOT ok").collect()}
+
+    item = "analytics.fct_transactions/month=2024-01-01"
+    other = "analytics.fct_transactions/month=2024-02-01"
+    assert swap({p.name: p.read_bytes() for p in (tmp_path / "damaged").glob("*.parquet")}) == {item: (2, 2)}
+    assert swap({p.name: c[:-20] for p, c in kept.items()}) == {item: (2, None), other: (3, None)}
+    assert swap({}) == {item: (2, 0)}
+    with pytest.raises(SystemExit):
+        command.main(["verify", root])
+    assert swap({p.name: c for p, c in kept.items()}) == {}
+
+
+def test_failing_tests_can_hold_back_publishing(spark, tmp_path):
+    root = str(tmp_path / "w")
+    run(spark, feed_file(tmp_path / "in", LINES[:3]), root, "a", NOW)
+    bad = LINES[:3] + ["6,5.0,2019-12-31,7,Widget,1.0,2.00,0.10"]
+    with pytest.raises(ChecksFailed, match="not published"):
+        run(spark, feed_file(tmp_path / "in", bad), root, "b", NOW, Options(publish_failing=False))
+    assert Snapshots(spark, root).open().run_id == "a"
+    assert spark.table("analytics.fct_transactions").count() == 3
+    assert [r.invocation_id for r in spark.table("analytics.dq_run_audit").collect()] == ["a"]
+
+
+def test_row_tests_are_counted_while_writing(spark, tmp_path, monkeypatch):
+    """In a run, no test on single rows of a stored table scans it again."""
+    from siftledger.plans import checks
+
+    scanned = []
+    original = checks._count_rows
+    monkeypatch.setattr(checks, "_count_rows", lambda df, c: scanned.extend(c) or original(df, c))
+    result = run(spark, feed_file(tmp_path / "in", LINES), str(tmp_path / "w"), "a", NOW)
+    assert result.failed == []
+    assert {c.relation for c in scanned} == {checks.REASONS, schemas.RUN_AUDIT.name}
+    assert result.warehouse.counted["quarantine_within_threshold"] == 1
+    assert result.warehouse.counted["total_amount_formula"] == 0
+
+
+def test_another_folder_takes_over_the_catalog(spark, facts, tmp_path):
+    publish(spark, str(tmp_path / "one"), "a", {FACT: facts(*ROWS)})
+    publish(spark, str(tmp_path / "two"), "a", {FACT: facts(*ROWS[:2])})
+    assert ids(spark.table("analytics.fct_transactions")) == [1, 2]
+    attach_only = Warehouse.published(spark, str(tmp_path / "one"))
+    attach_only.catalog.show(attach_only.snapshots.open(), [FACT])
+    assert ids(spark.table("analytics.fct_transactions")) == [1, 2, 3, 4]
+    with pytest.raises(FileNotFoundError):
+        attach(spark, str(tmp_path / "three"))
