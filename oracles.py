@@ -9,6 +9,7 @@ from __future__ import annotations
 from siftledger.plans.profiling import ONE_SCAN
 from siftledger.schemas import RAW_COLUMNS, REASON_CODES
 from siftledger.sources.derived import (
+    BATCH,
     COLUMNS,
     HELPERS,
     INGESTED_AT,
@@ -393,7 +394,91 @@ def oracle_sql() -> dict[str, str]:
         "profile_tax_percent_of_subtotal": _tax_buckets(
             f"({_quantity} * {_price})", f"{_ok['price']} and {_ok['quantity']}", 10, "pct_of_subtotal_bucket"),
     }
-    return answers | {"profile_overview": _side_by_side(answers)}
+    same = {
+        "fact": "fct_transactions", "quarantine": "quarantine", "dim_product": "dim_product",
+        "dim_customer": "dim_customer", "monthly_sales": "agg_monthly_sales",
+        "sales_by_customer": "agg_sales_by_customer", "sales_by_product": "agg_sales_by_product",
+        "completeness": "dq_completeness",
+    }
+    answers |= {f"batches_{name}": answers[whole] for name, whole in same.items()}
+    # A batch judges its rows at the time it lands them.
+    answers["batches_quarantine"] = answers["quarantine"].replace(QUARANTINED_AT, INGESTED_AT)
+    return answers | _stored() | {"profile_overview": _side_by_side(answers)}
+
+
+def _stored() -> dict[str, str]:
+    """What batches, snapshots and upserts leave behind."""
+    id_of = _digits(_bare("transaction_id", "T"))
+    # The feed with the batch of each row, under the feed's name.
+    batched = STAGED.replace(f"'{SOURCE_FILE}' as _source_file from joined", f"'{SOURCE_FILE}' as _source_file, {BATCH} as batch from joined")
+    batched = batched.replace("_ingested_at, _source_file from feed", "_ingested_at, _source_file, batch from feed")
+    lone = "count(*) over (partition by as_of, transaction_id) > 1 and transaction_id is not null"
+    others = " or ".join(f"coalesce({test}, false)" for test in _tests[:-1])
+    parts = " union all ".join(
+        f"select 'analytics.{name}' as item, count(*) as n from {relation}"
+        for name, relation in (("quarantine_customer_transactions", "quarantine"),
+                               ("dim_product", "product"), ("dim_customer", "customer"))
+    )
+    contract = [
+        *_nulls("product", "dim_product", "product_id product_name", "contract"),
+        _check("contract_dim_product_primary_key", _repeats("product", "product_id")),
+        *_nulls("customer", "dim_customer", "customer_id is_unknown", "contract"),
+        _check("contract_dim_customer_primary_key", _repeats("customer", "customer_id")),
+        *_nulls("calendar", "dim_date", "date_key date_day", "contract"),
+        _check("contract_dim_date_primary_key", _repeats("calendar", "date_key")),
+        *_nulls("fact", "fct_transactions", _FACT_ALL, "contract"),
+        _check("contract_fct_transactions_primary_key", _repeats("fact", "transaction_id")),
+    ]
+    share = _half_up("100 * u", "(select sum(u) from units)", 1)
+    known = ", ".join(f"'{c}'" for c in REASON_CODES)
+    moved = "transaction_id % 3 = 1"
+    return {
+        "batches_id_counts": _with(FEED, f"""select transaction_id, count(*) as n_rows,
+            count(*) filter (where batch = 3) as n_added, 'batch-' || min(batch) as first_batch
+          from (select {id_of} as transaction_id, {BATCH} as batch from
+            (select {COLUMNS["transaction_id"]} as transaction_id, l_shipdate from joined))
+          where transaction_id is not null group by 1"""),
+        "batches_as_of": _with(batched, f""", as_ofs as (select cast(unnest([1, 2, 3]) as integer) as as_of),
+          seen as (select as_of, {lone} as shared, {others} as faulty, quantity, unit_price, tax_amount
+            from staged, as_ofs where batch <= as_of)
+          select as_of as snapshot, count(*) filter (where not shared and not faulty) as n_fact,
+            count(*) filter (where shared or faulty) as n_quarantined,
+            cast(sum(quantity * unit_price + tax_amount) filter (where not shared and not faulty)
+              as decimal(38, 6)) as total_amount
+          from seen group by 1"""),
+        "snapshot_parts": _with(MARTS, f""", parts as (
+            select 'analytics.fct_transactions/month=' || strftime(date_trunc('month', transaction_date), '%Y-%m-%d')
+              as item, count(*) as n from fact group by 1 union all {parts})
+          select item, n as expected, n as found, true as ok from parts"""),
+        "snapshot_acceptance": _checks(
+            *contract,
+            _check("relationships_fct_transactions_customer_id", _orphans("customer_id", "customer")),
+            _check("relationships_fct_transactions_product_id", _orphans("product_id", "product")),
+            _check("relationships_fct_transactions_date_key", _orphans("date_key", "calendar")),
+            _check("partitions_reconcile", "select count(*) from metrics where not reconciles"),
+            _check("total_amount_formula",
+                   "select count(*) from fact where total_amount <> quantity * unit_price + tax_amount"),
+            _check("dq_reasons_known", f"select count(*) from reasons where dq_reason not in ({known})"),
+            _check("one_unknown_customer",
+                   "select cast(count(*) <> 1 as integer) from customer where is_unknown"),
+            _check("shares_add_up", f"""with units as (select product_id, {_units("total_amount")} as u from fact group by 1)
+              select cast(abs(sum({share}) - 100) >= 0.5 + 0.05 * count(*) as integer) from units"""),
+            _check("rows_are_divided", """select cast(count(*) <> (select count(*) from fact)
+              + (select count(*) from quarantine) as integer) from feed"""),
+        ),
+        "catalog_calendar": _with(MARTS, """select cast(year(transaction_date) as integer) as year, count(*) as n,
+            cast(sum(total_amount) as decimal(38, 6)) as total_amount
+          from fact where month(transaction_date) = 5 group by 1"""),
+        "upsert_fact": _with(MARTS, f""", odd as (select *, month(transaction_date) % 2 = 1 as changed from fact)
+          select transaction_id, customer_id, product_id, quantity, unit_price, subtotal, tax_amount, total_amount,
+            _ingested_at, changed and transaction_id % 5 = 1 or missing_customer as missing_customer,
+            cast(strftime(day, '%Y%m%d') as integer) as date_key, day as transaction_date
+          from (select *, case when changed and {moved} and transaction_id % 5 <> 1
+              then cast(transaction_date + interval 40 day as date) else transaction_date end as day from odd)
+          where not (changed and transaction_id % 5 = 0)"""),
+        "ledger_batches": _with(FEED, f"""select 'batch-' || {BATCH} as batch, count(*) as n_rows,
+            count(*) as n_landed, 0 as n_different from joined group by 1"""),
+    }
 
 
 def _side_by_side(answers: dict[str, str]) -> str:

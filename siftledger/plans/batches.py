@@ -14,11 +14,13 @@ All of it is published as one snapshot, which keeps the untouched parts of the l
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from zlib import crc32
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,8 +112,11 @@ def add_batch(
 
     index = grow_index(warehouse, base, landed, options.index_buckets)
     delta = judge(warehouse, base, landed, index)
-    months = change_fact(warehouse, base, delta)
-    change_quarantine(warehouse, base, delta, run_ts)
+    months, _ = _side_by_side(
+        warehouse.spark,
+        lambda: change_fact(warehouse, base, delta),
+        lambda: change_quarantine(warehouse, base, delta, run_ts),
+    )
     refresh(warehouse, base, delta, months)
     if not base.parts_of(schemas.DIM_DATE):
         warehouse.store(schemas.DIM_DATE, marts.dim_date(warehouse.spark, *options.spine))
@@ -210,6 +215,24 @@ def change_quarantine(
 
 def refresh(warehouse: Warehouse, base: Snapshot, delta: Delta, months: Sequence[str]) -> None:
     """Dimensions and summaries, from the rows and parts that changed."""
+    _side_by_side(
+        warehouse.spark,
+        lambda: refresh_products(warehouse, base, delta),
+        lambda: refresh_months(warehouse, base, months),
+        lambda: refresh_customers(warehouse, base, delta),
+        lambda: warehouse.store(
+            schemas.COMPLETENESS,
+            quality.completeness(
+                warehouse.current(schemas.RAW),
+                warehouse.current(schemas.FACT),
+                warehouse.current(schemas.QUARANTINE),
+            ),
+        ),
+    )
+
+
+def refresh_products(warehouse: Warehouse, base: Snapshot, delta: Delta) -> None:
+    """Counts per name and sums per product, added to and taken from."""
     added, taken = delta.added, delta.taken
     names = _added_up(
         [base.read(PRODUCT_NAMES), _named(added), _negative(_named(taken), "n_rows")],
@@ -227,33 +250,29 @@ def refresh(warehouse: Warehouse, base: Snapshot, delta: Delta, months: Sequence
         ],
         ["product_id"],
     )
-    totals = warehouse.store(PRODUCT_TOTALS, _typed(totals.where("num_transactions > 0"), PRODUCT_TOTALS))
+    totals = _typed(totals.where("num_transactions > 0"), PRODUCT_TOTALS)
+    totals = warehouse.store(PRODUCT_TOTALS, totals)
     warehouse.store(schemas.SALES_BY_PRODUCT, aggregates.product_sales(totals, products))
 
-    fact = warehouse.current(schemas.FACT)
+
+def refresh_months(warehouse: Warehouse, base: Snapshot, months: Sequence[str]) -> None:
+    """The months written anew, from their files alone; distinct counts cannot be added up."""
+    parts = [p for p in warehouse.parts[schemas.FACT.full_name] if p.part in months]
+    written = read_parts(warehouse.spark, warehouse.root, schemas.FACT, parts)
     month = F.col("month").cast("string")
-    monthly = base.read(schemas.MONTHLY_SALES).where(~month.isin(list(months)))
-    written = read_parts(
-        warehouse.spark,
-        warehouse.root,
-        schemas.FACT,
-        [p for p in warehouse.parts[schemas.FACT.full_name] if p.part in months],
-    )
-    monthly = monthly.unionByName(aggregates.monthly_sales(written))
-    warehouse.store(schemas.MONTHLY_SALES, monthly)
+    kept = base.read(schemas.MONTHLY_SALES).where(~month.isin(list(months)))
+    warehouse.store(schemas.MONTHLY_SALES, kept.unionByName(aggregates.monthly_sales(written)))
 
-    touched = added.select("customer_id").union(taken.select("customer_id")).distinct()
+
+def refresh_customers(warehouse: Warehouse, base: Snapshot, delta: Delta) -> None:
+    """The customers of added and taken rows, over all of their transactions."""
+    touched = delta.added.select("customer_id").union(delta.taken.select("customer_id")).distinct()
     touched = materialise(touched, "touched-customers")
-    sales = base.read(schemas.SALES_BY_CUSTOMER).join(touched, "customer_id", "left_anti")
+    fact = warehouse.current(schemas.FACT)
+    kept = base.read(schemas.SALES_BY_CUSTOMER).join(touched, "customer_id", "left_anti")
     again = aggregates.sales_by_customer(fact.join(touched, "customer_id", "left_semi"))
-    sales = warehouse.store(schemas.SALES_BY_CUSTOMER, sales.unionByName(again))
+    sales = warehouse.store(schemas.SALES_BY_CUSTOMER, kept.unionByName(again))
     warehouse.store(schemas.DIM_CUSTOMER, marts.dim_customer(sales))
-    warehouse.store(
-        schemas.COMPLETENESS,
-        quality.completeness(
-            warehouse.current(schemas.RAW), fact, warehouse.current(schemas.QUARANTINE)
-        ),
-    )
 
 
 def enforce(warehouse: Warehouse, delta: Delta, index: DataFrame) -> None:
@@ -273,6 +292,13 @@ def enforce(warehouse: Warehouse, delta: Delta, index: DataFrame) -> None:
         raise ContractViolation("; ".join(problems))
 
 
+def _side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs at the same time; their results."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        task = inheritable_thread_target(spark)(lambda job: job())
+        return list(pool.map(task, jobs))
+
+
 def _named(valid: DataFrame) -> DataFrame:
     return valid.groupBy("product_id", "product_name").agg(F.count("*").alias("n_rows"))
 

@@ -62,8 +62,16 @@ COLUMNS = {
 }
 
 
-def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """One raw row per order line of the tables in ``folder``, spoiled, with lineage."""
+# Every row is in one of three batches, by its ship date; ids come again in later ones.
+BATCH = """case when l_shipdate < cast('1999-01-01' as timestamp) then 1
+    when l_shipdate < cast('2001-01-01' as timestamp) then 2 else 3 end"""
+
+
+def dirty_feed(spark: SparkSession, folder: str, batched: bool = False) -> DataFrame:
+    """One raw row per order line of the tables in ``folder``, spoiled, with lineage.
+
+    ``batched`` adds the number of the batch that brings the row.
+    """
     lines, orders, parts = (
         spark.read.parquet(f"{folder}/{table}.parquet").select(*columns)
         for table, columns in USED.items()
@@ -77,6 +85,7 @@ def dirty_feed(spark: SparkSession, folder: str) -> DataFrame:
         *[F.expr(e).alias(n) for n, e in COLUMNS.items()],
         F.lit(INGESTED_AT).cast("timestamp").alias("_ingested_at"),
         F.lit(SOURCE_FILE).alias("_source_file"),
+        *([F.expr(BATCH).alias("batch")] if batched else []),
     )
 
 
