@@ -91,3 +91,17 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for name in paths:
         path = context._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(hadoop).delete(path, True)
+
+
+def release(*stored: DataFrame) -> None:
+    """Remove the files of materialised steps, once all that reads them is stored.
+
+    Spark deletes shuffle files when the driver's JVM collects the plans they belong to. A
+    driver with little garbage would leave those of every step of a long job on the
+    executors' disks, so it is asked to collect.
+    """
+    spark = stored[0].sparkSession
+    own = f"/{spark.sparkContext.applicationId}/"
+    folders = {path.rsplit("/", 1)[0] for df in stored for path in df.inputFiles()}
+    remove(spark, *(folder for folder in folders if own in folder))
+    spark.sparkContext._jvm.System.gc()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from types import SimpleNamespace
 
 import pytest
@@ -48,3 +50,16 @@ def test_shuffles_grow_with_the_scan(spark):
         assert spark.conf.get(key) == before  # never fewer than configured
         raise ZeroDivisionError
     assert spark.conf.get(key) == before
+
+
+def test_released_steps_leave_no_files(spark, tmp_path):
+    """Only what materialise has written goes; other sources of a step stay."""
+    from siftledger.session import release
+
+    spark.range(5).write.parquet(str(tmp_path / "source"))
+    source = spark.read.parquet(str(tmp_path / "source"))
+    stored, kept = materialise(source, "one"), materialise(source, "two")
+    folder = Path(stored.inputFiles()[0].removeprefix("file://")).parent
+    release(stored.where("id > 1"), source)
+    assert not folder.exists()
+    assert kept.count() == source.count() == 5
