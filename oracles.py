@@ -7,7 +7,7 @@ and averages come from integer division.
 from __future__ import annotations
 
 from siftledger.plans.profiling import ONE_SCAN
-from siftledger.schemas import RAW_COLUMNS, REASON_CODES
+from siftledger.schemas import RANGE_CODES, RAW_COLUMNS, REASON_CODES
 from siftledger.sources.derived import (
     BATCH,
     COLUMNS,
@@ -49,19 +49,26 @@ def _day(text: str) -> str:
 
 
 _raws = ", ".join(f"{c} as {c}_raw" for c in RAW_COLUMNS)
+# The rules as the texts say them: a number by its form, too large by its digits.
+_form = "coalesce(regexp_full_match({0}, '[0-9]+([.][0-9]+)?'), false)"
+_large = "length(ltrim(split_part({0}, '.', 1), '0')) > 18"
+_not_zero = "regexp_matches({0}, '[1-9]')"
 _tests = (
-    "unit_price is null",
-    "tax_amount is null",
+    f"not {_form.format('price_raw')}",
+    f"not {_form.format('tax_raw')}",
     "quantity is null",
     "transaction_date is null",
     "transaction_id is null",
-    "unit_price <= 0",
+    f"{_form.format('price_raw')} and not {_not_zero.format('price_raw')}",
     "tax_amount < 0",
     "quantity <= 0",
     "is_duplicate_id",
+    f"{_form.format('price_raw')} and ({_large.format('price_raw')}"
+    f" or {_not_zero.format('price_raw')} and unit_price = 0)",
+    f"{_form.format('tax_raw')} and {_large.format('tax_raw')}",
 )
 _reasons = ", ".join(
-    f"case when {test} then '{code}' end" for test, code in zip(_tests, REASON_CODES, strict=True)
+    f"case when {test} then '{code}' end" for test, code in zip(_tests, REASON_CODES + RANGE_CODES, strict=True)
 )
 STAGED = f"""{FEED},
 typed as (select {_raws},
@@ -199,7 +206,7 @@ def oracle_sql() -> dict[str, str]:
     }
     missing = ", ".join(f"count(*) filter (where {_blank.format(c)}) as {n}" for n, c in names_p.items())
     iso, dmy = (f"regexp_full_match(transaction_date, '{p}')" for p in (_ISO, _DMY))
-    known = ", ".join(f"'{c}'" for c in REASON_CODES)
+    known = ", ".join(f"'{c}'" for c in REASON_CODES + RANGE_CODES)
     quarantined = "select count(*) from quarantine"
     answers = {
         "raw_feed": _with(FEED, "select * from feed"),
@@ -413,7 +420,7 @@ def _stored() -> dict[str, str]:
     batched = STAGED.replace(f"'{SOURCE_FILE}' as _source_file from joined", f"'{SOURCE_FILE}' as _source_file, {BATCH} as batch from joined")
     batched = batched.replace("_ingested_at, _source_file from feed", "_ingested_at, _source_file, batch from feed")
     lone = "count(*) over (partition by as_of, transaction_id) > 1 and transaction_id is not null"
-    others = " or ".join(f"coalesce({test}, false)" for test in _tests[:-1])
+    others = " or ".join(f"coalesce({test}, false)" for test in _tests if test != "is_duplicate_id")
     parts = " union all ".join(
         f"select 'analytics.{name}' as item, count(*) as n from {relation}"
         for name, relation in (("quarantine_customer_transactions", "quarantine"),
@@ -430,7 +437,7 @@ def _stored() -> dict[str, str]:
         _check("contract_fct_transactions_primary_key", _repeats("fact", "transaction_id")),
     ]
     share = _half_up("100 * u", "(select sum(u) from units)", 1)
-    known = ", ".join(f"'{c}'" for c in REASON_CODES)
+    known = ", ".join(f"'{c}'" for c in REASON_CODES + RANGE_CODES)
     moved = "transaction_id % 3 = 1"
     return {
         "batches_id_counts": _with(FEED, f"""select transaction_id, count(*) as n_rows,

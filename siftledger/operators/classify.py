@@ -22,20 +22,31 @@ class Rule:
     broken: str
 
 
+# A number by its text, and one that is not zero; asked only where the typed value is
+# missing or zero.
+_NUMBER = "RLIKE r'^[0-9]+([.][0-9]+)?\\z'"
+_NOT_ZERO = "RLIKE '[1-9]'"
+
 DEFAULT_RULES = (
     # Not readable as its type.
-    Rule("price_not_numeric", "unit_price IS NULL"),
-    Rule("tax_not_numeric", "tax_amount IS NULL"),
+    Rule("price_not_numeric", f"unit_price IS NULL AND NOT coalesce(price_raw {_NUMBER}, false)"),
+    Rule("tax_not_numeric", f"tax_amount IS NULL AND NOT coalesce(tax_raw {_NUMBER}, false)"),
     Rule("quantity_missing_or_invalid", "quantity IS NULL"),
     Rule("date_unparseable", "transaction_date IS NULL"),
     Rule("transaction_id_invalid", "transaction_id IS NULL"),
     # Readable, but not acceptable. Signs never pass coercion, so tax_negative stays
     # silent on feeds read by this library; its code is still part of the vocabulary.
-    Rule("price_non_positive", "unit_price <= 0"),
+    Rule("price_non_positive", f"unit_price <= 0 AND NOT price_raw {_NOT_ZERO}"),
     Rule("tax_negative", "tax_amount < 0"),
     Rule("quantity_non_positive", "quantity <= 0"),
     # More than one row for one id.
     Rule("duplicate_transaction_id", "is_duplicate_id"),
+    # Numbers, but none that the money type holds: too large, or rounded to nothing.
+    Rule(
+        "price_out_of_range",
+        f"(unit_price IS NULL AND price_raw {_NUMBER}) OR (unit_price = 0 AND price_raw {_NOT_ZERO})",
+    ),
+    Rule("tax_out_of_range", f"tax_amount IS NULL AND tax_raw {_NUMBER}"),
 )
 
 

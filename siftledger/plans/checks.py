@@ -24,6 +24,7 @@ from siftledger.schemas import (
     FACT,
     MONEY,
     QUARANTINE,
+    RANGE_CODES,
     REASON_CODES,
     RUN_AUDIT,
     STAGED,
@@ -219,7 +220,7 @@ def declared_checks(quarantine_severity: Severity = Severity(warn_above=0, fail_
         NotNullProportionCheck(
             "not_null_proportion_stg_dq_reasons", STAGED.name, column="dq_reasons", at_least=0.0
         ),
-        vocabulary_check(REASON_CODES),
+        vocabulary_check(REASON_CODES + RANGE_CODES),
         RowCheck("partitions_reconcile", COMPLETENESS.name, broken="NOT reconciles"),
         RowCheck(
             "quarantine_within_threshold",

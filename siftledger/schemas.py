@@ -28,12 +28,15 @@ REASON_CODES = (
     "quantity_non_positive",
     "duplicate_transaction_id",
 )
+# Codes of this library's own: numbers that MONEY cannot hold.
+RANGE_CODES = ("price_out_of_range", "tax_out_of_range")
 UNKNOWN_CUSTOMER = -1
 NAMESPACES = ("raw", "staging", "analytics", "dq_audit")
 
 # Money is exact, with 18 digits before the point and six after it; sums have 32 before
-# it. The ``digits_lost`` checks count longer fractions, which are rounded, and larger
-# numbers, which have no typed value; a run stores both counts.
+# it. Larger numbers, and prices that would round to nothing, are rejected under codes of
+# their own. The ``digits_lost`` checks count longer fractions, which are rounded, and
+# larger numbers; a run stores both counts.
 MONEY = T.DecimalType(24, 6)
 SUBTOTAL = T.DecimalType(35, 6)
 TOTAL = T.DecimalType(36, 6)

@@ -56,8 +56,9 @@ COLUMNS = {
         when line % 127 = 0 then cast(cast(l_extendedprice as decimal(12, 2)) as string) || '6789'
         when line % 131 = 0 then cast(cast(l_extendedprice as decimal(12, 2)) as string) || '67891'
         when line % 137 = 0 then '1234567890123456789.5'
+        when line % 139 = 0 then '0.0000004'
         else cast(cast(l_extendedprice as decimal(12, 2)) as string) end""",
-    "tax": """case when line % 19 = 0 then 'exempt'
+    "tax": """case when line % 19 = 0 then 'exempt' when line % 149 = 0 then '0001234567890123456789'
         else cast(cast(cast(l_tax as decimal(12, 2)) * 100 as decimal(12, 2)) as string) end""",
 }
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftledger.operators.classify import DEFAULT_RULES, Rule
 from siftledger.plans import marts, staging
-from siftledger.schemas import REASON_CODES, STAGED
+from siftledger.schemas import RANGE_CODES, REASON_CODES, STAGED
 from siftledger.sources.delimited import read_source
 
 RUN_TS = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
@@ -69,7 +69,27 @@ def test_columns_and_lineage(staged):
 
 
 def test_rule_codes_are_the_vocabulary():
-    assert tuple(rule.code for rule in DEFAULT_RULES) == REASON_CODES
+    assert tuple(rule.code for rule in DEFAULT_RULES) == REASON_CODES + RANGE_CODES
+
+
+def test_no_number_gets_a_wrong_code(feed):
+    """Too large, rounded to nothing, and just inside; zero stays zero, words stay words."""
+    cases = {
+        "9" * 18: [],
+        "9" * 19: ["price_out_of_range"],
+        "000" + "9" * 18: [],
+        "1" + "0" * 18 + ".5": ["price_out_of_range"],
+        "0.000001": [],
+        "0.0000004": ["price_out_of_range"],
+        "0.000": ["price_non_positive"],
+        "0": ["price_non_positive"],
+        "9e9": ["price_not_numeric"],
+    }
+    rows = staging.staged(feed(*[{"price": text} for text in cases])).collect()
+    assert {r.price_raw: r.dq_reasons for r in rows} == cases
+    taxes = {"9" * 19: ["tax_out_of_range"], "0.0000004": [], "0": [], "": ["tax_not_numeric"]}
+    rows = staging.staged(feed(*[{"tax": text} for text in taxes])).collect()
+    assert {r.tax_raw: r.dq_reasons for r in rows} == taxes
 
 
 def test_a_rule_can_be_added(feed):
