@@ -453,6 +453,15 @@ def _stored() -> dict[str, str]:
             cast(sum(quantity * unit_price + tax_amount) filter (where not shared and not faulty)
               as decimal(38, 6)) as total_amount
           from seen group by 1"""),
+        "distinct_by_month": _with(MARTS, """select cast(date_trunc('month', transaction_date) as date) as month,
+            count(distinct customer_id) filter (where customer_id <> -1) as num_customers,
+            count(distinct product_id) as distinct_products from fact group by 1"""),
+        "distinct_by_period": _with(MARTS, """select period,
+            count(distinct customer_id) filter (where customer_id <> -1) as num_customers,
+            count(distinct product_id) as distinct_products
+          from (select *, unnest(['all', strftime(transaction_date, '%Y'),
+            strftime(transaction_date, '%Y') || '-Q' || quarter(transaction_date)]) as period from fact)
+          group by 1"""),
         "snapshot_parts": _with(MARTS, f""", parts as (
             select 'analytics.fct_transactions/month=' || strftime(date_trunc('month', transaction_date), '%Y-%m-%d')
               as item, count(*) as n from fact group by 1 union all {parts})

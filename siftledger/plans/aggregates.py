@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siftledger.functions.dates import month_start
 from siftledger.functions.exact import percent, ratio_half_up
+from siftledger.operators.bitmaps import distinct_in_bitmaps, id_bitmaps
 from siftledger.schemas import UNKNOWN_CUSTOMER
 from siftledger.session import materialise
 
@@ -54,6 +55,33 @@ def monthly_sales(fact: DataFrame) -> DataFrame:
     )
 
 
+def monthly_ids(fact: DataFrame) -> DataFrame:
+    """The known customers and the products of each month, as bitmaps of blocks of ids."""
+    customer = F.when(F.col("customer_id") != UNKNOWN_CUSTOMER, F.col("customer_id"))
+    kinds = {"customer": customer, "product": F.col("product_id")}
+    both = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("id")) for k, v in kinds.items()])
+    month = month_start(F.col("transaction_date")).cast("date")
+    ids = fact.select(month.alias("month"), F.inline(both))
+    return id_bitmaps(ids, ["month", "kind"], "id")
+
+
+def distinct_over(ids: DataFrame, *periods: Column) -> DataFrame:
+    """Known customers and products per period, from the stored bitmaps of its months.
+
+    ``ids``: rows of :func:`monthly_ids`, filtered as wished; ``periods`` are expressions
+    over month. Counts are exact although months share customers: bitmaps are merged.
+    """
+    named = [F.col(p) if isinstance(p, str) else p for p in periods]
+    of_period = ids.select("*", *named)
+    names = [c for c in of_period.columns if c not in ids.columns]
+    counts = distinct_in_bitmaps(of_period, [*names, "kind"], "n")
+    both = [
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(name)
+        for kind, name in (("customer", "num_customers"), ("product", "distinct_products"))
+    ]
+    return counts.groupBy(*names).agg(*both)
+
+
 def sales_by_customer(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("customer_id")

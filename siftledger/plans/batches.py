@@ -43,6 +43,7 @@ BATCHED = (
     schemas.QUARANTINE,
     schemas.COMPLETENESS,
     schemas.MONTHLY_SALES,
+    schemas.MONTHLY_IDS,
     schemas.SALES_BY_CUSTOMER,
     schemas.SALES_BY_PRODUCT,
     LANDED_FILES,
@@ -256,12 +257,17 @@ def refresh_products(warehouse: Warehouse, base: Snapshot, delta: Delta) -> None
 
 
 def refresh_months(warehouse: Warehouse, base: Snapshot, months: Sequence[str]) -> None:
-    """The months written anew, from their files alone; distinct counts cannot be added up."""
+    """The months written anew, from their files alone; other months keep their rows."""
     parts = [p for p in warehouse.parts[schemas.FACT.full_name] if p.part in months]
     written = read_parts(warehouse.spark, warehouse.root, schemas.FACT, parts)
     month = F.col("month").cast("string")
-    kept = base.read(schemas.MONTHLY_SALES).where(~month.isin(list(months)))
-    warehouse.store(schemas.MONTHLY_SALES, kept.unionByName(aggregates.monthly_sales(written)))
+    untouched = ~month.isin(list(months))
+    for relation, build in (
+        (schemas.MONTHLY_SALES, aggregates.monthly_sales),
+        (schemas.MONTHLY_IDS, aggregates.monthly_ids),
+    ):
+        kept = base.read(relation).where(untouched)
+        warehouse.store(relation, kept.unionByName(build(written)))
 
 
 def refresh_customers(warehouse: Warehouse, base: Snapshot, delta: Delta) -> None:

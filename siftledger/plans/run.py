@@ -41,6 +41,7 @@ PUBLISHED = (
     schemas.QUARANTINE,
     schemas.COMPLETENESS,
     schemas.MONTHLY_SALES,
+    schemas.MONTHLY_IDS,
     schemas.SALES_BY_CUSTOMER,
     schemas.SALES_BY_PRODUCT,
 )
@@ -201,6 +202,7 @@ def summarise(
         warehouse,
         {
             schemas.MONTHLY_SALES: lambda: aggregates.monthly_sales(fact),
+            schemas.MONTHLY_IDS: lambda: aggregates.monthly_ids(fact),
             schemas.SALES_BY_CUSTOMER: lambda: aggregates.sales_by_customer(fact),
             schemas.SALES_BY_PRODUCT: lambda: aggregates.sales_by_product(fact, products),
             schemas.COMPLETENESS: lambda: quality.completeness(

@@ -320,6 +320,20 @@ SALES_BY_PRODUCT = Relation(
     ),
 )
 
+MONTHLY_IDS = Relation(
+    "analytics",
+    "agg_monthly_ids",
+    "Which customers and products a month has, as bitmaps of blocks of ids.",
+    T.StructType(
+        [
+            field("month", _date, "First day of the month."),
+            field("kind", _string, "customer (known ones) or product."),
+            field("block", _long, "Number of the block of ids."),
+            field("bits", T.BinaryType(), "One bit per id of the block."),
+        ]
+    ),
+)
+
 # What batches keep beside the marts.
 
 LANDED_FILES = Relation(

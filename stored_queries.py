@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftledger import schemas
-from siftledger.plans import batches, marts, staging
+from siftledger.plans import aggregates, batches, marts, staging
 from siftledger.plans.run import Options
 from siftledger.plans.verify import accepted, verify_files
 from siftledger.schemas import FACT, ID_INDEX, LANDED_FILES, RAW, RAW_COLUMNS
@@ -92,6 +92,20 @@ def batches_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+def distinct_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    ids = after_batches(spark, folder).read(schemas.MONTHLY_IDS)
+    return aggregates.distinct_over(ids.withColumnRenamed("month", "_month"), F.col("_month").alias("month"))
+
+
+def distinct_by_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Every year, every quarter of a year, and all time, from the months' bitmaps."""
+    ids = after_batches(spark, folder).read(schemas.MONTHLY_IDS)
+    year = F.year("month").cast("string")
+    quarter = F.concat(year, F.lit("-Q"), F.quarter("month").cast("string"))
+    periods = F.explode(F.array(F.lit("all"), year, quarter)).alias("period")
+    return aggregates.distinct_over(ids, periods)
+
+
 def snapshot_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows committed and rows found in every part of four tables."""
     return verify_files(after_batches(spark, folder), VERIFIED)
@@ -180,6 +194,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batches_completeness": _relation(schemas.COMPLETENESS),
         "batches_id_counts": _relation(ID_INDEX),
         "batches_as_of": batches_as_of,
+        "distinct_by_month": distinct_by_month,
+        "distinct_by_period": distinct_by_period,
         "snapshot_parts": snapshot_parts,
         "snapshot_acceptance": snapshot_acceptance,
         "catalog_calendar": catalog_calendar,
