@@ -322,13 +322,7 @@ def oracle_sql() -> dict[str, str]:
             cast(status <> 'pass' as bigint) as failures, status from
           (select case when age > 72 * 3600 then 'fail' when age > 24 * 3600 then 'warn' else 'pass' end as status
             from (select epoch(timestamp '2024-01-04 00:00:00') - epoch(max(_ingested_at)) as age from feed))"""),
-        "check_digits_lost": _checks(*[
-            _check(f"{name}_{typed}", f"select count(*) from staged where {typed} is {state} "
-                   f"and regexp_matches({text}, '{form}')", "warn",
-                   "case when failures > 0 then 'warn' else 'pass' end")
-            for typed, text in (("unit_price", "price_raw"), ("tax_amount", "tax_raw"))
-            for name, state, form in (("digits_lost", "not null", "^[0-9]+[.][0-9]{6}[0-9]*[1-9]"),
-                                      ("overflow", "null", "^[0-9]+([.][0-9]+)?$"))]),
+        "check_digits_lost": _checks(*_lost_digits()),
         "failing_unique": _with(STAGED, """select transaction_id as unique_field, count(*) as n_records
           from staged where transaction_id is not null group by 1 having count(*) > 1"""),
         "failing_relationships": _with(MARTS, """select transaction_id as from_field, count(*) as n_records
@@ -408,11 +402,39 @@ def oracle_sql() -> dict[str, str]:
         "completeness": "dq_completeness",
     }
     answers |= {f"batches_{name}": answers[whole] for name, whole in same.items()}
+    # Whole runs and batches start when they land.
+    answers["run_history"] = answers["dq_run_audit"].replace(RUN_STARTED_AT, INGESTED_AT)
+    answers["run_stored_failures"] = _with(MARTS, """select transaction_id_raw,
+      array_to_string(dq_reasons, '|') as dq_reasons from quarantine""")
+    answers["run_alias_views"] = _with(MARTS, """select 'analytics.dim_table' as view, count(*) as n from product
+      union all select 'analytics.fact_table', count(*) from fact
+      union all select 'analytics.dq_quarantine_reasons', count(*) from reasons""")
+    found = _with(QUALITY, "\nunion all ".join([
+        *_nulls("fact", "fct_transactions", _FACT_NN),
+        *[_check(f"unique_{name}_{key}", _repeats(relation, key)) for name, relation, key in (
+            ("dim_product", "product", "product_id"), ("dim_customer", "customer", "customer_id"),
+            ("dim_date", "calendar", "date_key"), ("fct_transactions", "fact", "transaction_id"))],
+        _check("quarantine_within_threshold", quarantined, "warn",
+               "case when failures >= 50 then 'fail' when failures > 0 then 'warn' else 'pass' end"),
+        *_lost_digits()]))
+    answers["run_check_results"] = f"""select * from ({found}) where "check" like 'not_null_fct%'
+      or "check" like 'unique%' or failures > 0"""
     # A batch judges its rows at the time it lands them.
     answers["batches_quarantine"] = answers["quarantine"].replace(QUARANTINED_AT, INGESTED_AT)
     return answers | _stored() | {"profile_overview": _side_by_side(answers)}
 
 
+def _lost_digits() -> list[str]:
+    return [
+        _check(f"{name}_{typed}", f"select count(*) from staged where {typed} is {state} "
+               f"and regexp_matches({text}, '{form}')", "warn",
+               "case when failures > 0 then 'warn' else 'pass' end")
+        for typed, text in (("unit_price", "price_raw"), ("tax_amount", "tax_raw"))
+        for name, state, form in (("digits_lost", "not null", "^[0-9]+[.][0-9]{6}[0-9]*[1-9]"),
+                                  ("overflow", "null", "^[0-9]+([.][0-9]+)?$"))
+    ]
+
+
 def _stored() -> dict[str, str]:
     """What batches, snapshots and upserts leave behind."""
     id_of = _digits(_bare("transaction_id", "T"))

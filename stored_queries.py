@@ -15,20 +15,21 @@ from pyspark.sql import functions as F
 
 from siftledger import schemas
 from siftledger.plans import aggregates, batches, marts, staging
-from siftledger.plans.run import Options
+from siftledger.plans.run import PUBLISHED, VIEWS, Options, RunReport, run
 from siftledger.plans.verify import accepted, verify_files
 from siftledger.schemas import FACT, ID_INDEX, LANDED_FILES, RAW, RAW_COLUMNS
 from siftledger.session import materialise, scratch_dir
 from siftledger.sinks.catalog import with_calendar
 from siftledger.sinks.snapshots import Snapshot, Snapshots
 from siftledger.sinks.warehouse import Warehouse
-from siftledger.sources.derived import INGESTED_AT, dirty_feed
+from siftledger.sources.derived import INGESTED_AT, INVOCATION_ID, dirty_feed
 
 BATCHES = (1, 2, 3)
-OPTIONS = Options(spine=("1990-01-01", "2031-01-01"), index_buckets=8)
+OPTIONS = Options(spine=("1990-01-01", "2031-01-01"), index_buckets=8, strict=False)
 VERIFIED = (FACT, schemas.QUARANTINE, schemas.DIM_PRODUCT, schemas.DIM_CUSTOMER)
 
 _added: dict[tuple[str, str], Snapshot] = {}
+_run: dict[tuple[str, str], RunReport] = {}
 
 
 def new_root(spark: SparkSession) -> str:
@@ -182,6 +183,47 @@ def ledger_batches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def after_run(spark: SparkSession, folder: str) -> RunReport:
+    """A whole run over the feed's files, repeated under its run id."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _run:
+        root, source = new_root(spark), new_root(spark)
+        write_csv(dirty_feed(spark, folder), source)
+        run_ts = datetime.fromisoformat(f"{INGESTED_AT}+00:00")
+        for _ in range(2):
+            _run[key] = run(spark, source, root, INVOCATION_ID, run_ts, OPTIONS)
+    return _run[key]
+
+
+def run_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The history after both: a repeated run adds no row."""
+    return after_run(spark, folder).relations[schemas.RUN_AUDIT.name]
+
+
+def run_stored_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The failing rows that the run has stored for the test on quarantined rows."""
+    path = after_run(spark, folder).warehouse.path("dq_audit", "quarantine_within_threshold")
+    return spark.read.parquet(path).withColumn("dq_reasons", F.array_join("dq_reasons", "|"))
+
+
+def run_check_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Results of the declared tests, as stored; row tests were counted while writing."""
+    path = after_run(spark, folder).warehouse.path("dq_audit", "check_results")
+    return spark.read.parquet(path).where("check LIKE 'not_null_fct%' OR check LIKE 'unique%' OR failures > 0")
+
+
+def run_alias_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows behind the views defined over published relations."""
+    snapshot = Snapshots(spark, after_run(spark, folder).warehouse.root).open()
+    shown = Warehouse(spark, snapshot.root, snapshot.run_id, snapshot.version)
+    shown.catalog.show(snapshot, PUBLISHED, VIEWS)
+    found = None
+    for name in VIEWS:
+        count = spark.table(name).agg(F.lit(name).alias("view"), F.count("*").alias("n"))
+        found = count if found is None else found.unionByName(count)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "batches_fact": _relation(FACT),
@@ -201,4 +243,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_calendar": catalog_calendar,
         "upsert_fact": upsert_fact,
         "ledger_batches": ledger_batches,
+        "run_history": run_history,
+        "run_stored_failures": run_stored_failures,
+        "run_check_results": run_check_results,
+        "run_alias_views": run_alias_views,
     }
