@@ -4,6 +4,11 @@ Each stage reads what the one before it has written. Documents of low quality go
 copies of repeated line runs are cut out, and documents left without a line go; of near
 duplicates one document stays; documents that hold a benchmark item go; and what is left
 is packed into token sequences.
+
+Every stage bears NULL ids and texts, empty and very long texts, repeated rows and empty
+tables, and returns the columns it is given, whatever their names. A NULL or empty text is
+scored as one empty passage, has no lines and no shingles, holds no benchmark item, and is
+packed as its end alone. Rows that repeat are judged alike; ties go to the smaller doc_id.
 """
 
 from __future__ import annotations
