@@ -66,15 +66,44 @@ class Encoder:
             x: array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
             for x in _ENDS
         }
+        # A token of the byte-level vocabulary is written with one character per byte.
+        written = self.tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(written.values(), default=0) + 1, np.int64)
+        for token, number in written.items():
+            self.n_bytes[number] = len(token)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """The ids of each pre-token by itself.
+
+        Pre-tokens that begin with a space or line break and end in something else do not
+        touch in a row: they are encoded as one text, whose ids are cut by the bytes they
+        stand for. The others, and rows with a special string, are encoded one by one.
+        """
+        row = [t for t in texts if t[:1] in (" ", "\n") and not t[-1:].isspace()]
+        joined = "".join(row)
+        found: dict[str, bytes] = {}
+        if row and not any(x in joined for x in self.special):
+            (one,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
+            ids = np.array(one.ids, np.uint32)
+            upto = np.append(0, np.cumsum(self.n_bytes[ids]))
+            ends = np.cumsum([len(t.encode()) for t in row])
+            cuts_at = np.searchsorted(upto, ends)
+            if np.array_equal(upto[cuts_at], ends):
+                raw = ids.astype("<u4").tobytes()
+                starts = [0, *(4 * cuts_at).tolist()]
+                found = {t: raw[a:b] for t, a, b in zip(row, starts, starts[1:])}
+        single = [t for t in texts if t not in found]
+        alone = self.tokenizer.encode_batch_fast(single, add_special_tokens=False)
+        found |= {t: array("I", e.ids).tobytes() for t, e in zip(single, alone)}
+        return [found[t] for t in texts]
 
     def _learn(self, known: dict[str, bytes], new: set[str], whole) -> None:
         """Encode pre-tokens; after a plain letter, a last point or comma stands by itself."""
         ends = [k for k in new if k[-1:] in _ENDS and k[-2:-1].isascii() and k[-2:-1].isalpha()]
         stems = {k[:-1] for k in ends}
         direct = [*new.difference(ends), *(k for k in stems - new if k not in known)]
-        found = self.tokenizer.encode_batch_fast([whole(k) for k in direct], add_special_tokens=False)
-        for key, e in zip(direct, found):
-            known[key] = array("I", e.ids).tobytes()
+        known.update(zip(direct, self.encoded([whole(k) for k in direct])))
         for key in ends:
             known[key] = known[key[:-1]] + self.ends[key[-1]]
 

@@ -87,3 +87,17 @@ def test_every_token_is_packed_once(awkward):
 
 def test_empty_table(documents):
     assert packing.packed_documents(documents()).count() == 0
+
+
+def test_pre_tokens_encoded_together_are_encoded_alone():
+    """A row of pre-tokens, cut by bytes, gives what each gives by itself."""
+    encoder = packing.Encoder()
+    rows = [
+        [" plain", " words", " plain-ish,", "\nline", " 12,345", " naïve", " 日本", " 😀😀", " é́"],
+        [" a", " ", " b", "\n", " tab\t", "no", " x" * 3, " <|endoftext|>", " don't", "  wide"],
+        [" q"],
+        [],
+    ]
+    for row in rows:
+        alone = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in row]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encoded(row)] == alone
