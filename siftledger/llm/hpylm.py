@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftledger.llm.common import mixed, shuffle_partitions, strings, table
-from siftledger.session import materialise
+from siftledger.session import materialise, release
 
 # Tokens of a chunk, at most; longer texts go on in the next chunk.
 CHUNK = 1_250_000
@@ -569,9 +569,12 @@ def scores(docs: DataFrame, sweeps: int = SWEEPS, kept: int = KEPT) -> DataFrame
     _, _, ones, twos = (int(x) for x in _sums(counted, "pairs-sums"))
     discount = _discount(ones, twos)
     begun = exchanged(state.unionByName(to_chunks), _begin(buckets), "seats")
-    places = counted.where("kind = 'places'")
+    # What later steps do not read goes: places are read by every sweep, counts no more.
+    places = materialise(counted.where("kind = 'places'"), "places")
+    release(counted)
     seats, tables = begun.where("kind = 'seats'"), begun.where("kind = 'tables'")
     values, news = [], []
+    wanted = range(max(sweeps - kept, 0), sweeps + 1)
     for sweep in range(sweeps + 1):
         if sweep:
             last = values[-1].where("kind = 'values'")
@@ -579,8 +582,8 @@ def scores(docs: DataFrame, sweeps: int = SWEEPS, kept: int = KEPT) -> DataFrame
                 seats.unionByName(last), _sweep(buckets, sweep, discount, news[-1]), "tables"
             )
         both = places.unionByName(tables)
-        tally = _sums(exchanged(both, _parent_counts, "parent-counts"), "parent")
-        customers, words, one, two = (int(x) for x in tally)
+        tallies = exchanged(both, _parent_counts, "parent-counts")
+        customers, words, one, two = (int(x) for x in _sums(tallies, "parent"))
         parent_discount = _discount(one, two)
         found = exchanged(
             both, _parent(customers, words, parent_discount, distinct), "values"
@@ -588,8 +591,12 @@ def scores(docs: DataFrame, sweeps: int = SWEEPS, kept: int = KEPT) -> DataFrame
         opened = float(_sums(found, "parent-tables")[0])
         news.append((PARENT + parent_discount * opened) / (PARENT + customers) / (distinct + 1))
         values.append(found)
-    wanted = range(max(sweeps - kept, 0), sweeps + 1)
-    messages = state.unionByName(begun.where("kind = 'totals'"))
+        # The tables of this sweep are summed up; the last values are read by those kept only.
+        done = [tallies, *([tables] if sweep else [])]
+        release(*done, *(values[sweep - 1 : sweep] if sweep and sweep - 1 not in wanted else []))
+    totals = materialise(begun.where("kind = 'totals'"), "totals")
+    release(begun, places)
+    messages = state.unionByName(totals)
     for sweep in wanted:
         named = values[sweep].where("kind = 'values'").withColumn("kind", F.lit(f"values-{sweep}"))
         messages = messages.unionByName(named)
