@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftledger.session import materialise
+from siftledger.session import materialise, release
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,8 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialise(edges.where("u <> v").select("u", "v").distinct(), "edges")
     while True:
         for large in (True, False):
-            starred = _stars(edges, large).where("u <> v").distinct()
-            edges = materialise(starred, "edges")
+            starred = materialise(_stars(edges, large).where("u <> v").distinct(), "edges")
+            release(edges)
+            edges = starred
         # Done when all links are from greater nodes to roots: no node is on both sides.
         tops = edges.select(F.col("v").alias("u")).distinct()
         if edges.join(tops, "u", "left_semi").isEmpty() and _single(edges):
