@@ -41,7 +41,7 @@ class Catalog:
         self.namespaces()
         shown = self.current()
         if shown is not None and shown[1] != self.root:
-            self._forget(relations)
+            self._forget()
             shown = None
         self._each(lambda r: self._register(snapshot, r), relations)
         if shown is None:  # the views below need it; nothing is visible before them
@@ -82,9 +82,12 @@ class Catalog:
             if specs:
                 self.spark.sql(f"ALTER TABLE {files_of(relation)} DROP IF EXISTS {', '.join(specs)}")
 
-    def _forget(self, relations: Sequence[Relation]) -> None:
+    def _forget(self) -> None:
+        """Let go of every table of another folder; its files stay."""
         self.spark.sql(f"DROP VIEW {CURRENT}")
-        self._each(lambda r: self.spark.sql(f"DROP TABLE IF EXISTS {files_of(r)}"), relations)
+        for name in NAMESPACES:
+            for row in self.spark.sql(f"SHOW TABLES IN {name} LIKE '*__files'").collect():
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}.{row['tableName']}")
 
     def _switch(self, number: int) -> None:
         self.spark.sql(
