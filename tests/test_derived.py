@@ -6,7 +6,10 @@ from datetime import datetime
 
 import pytest
 
+import __spark_entry__ as registry
 from siftledger.operators.duplicates import mark_repeated, repeated_keys
+from siftledger.plans import checks
+from siftledger.schemas import DIM_DATE, QUARANTINE
 from siftledger.sources.derived import dirty_feed
 
 DAY = datetime(1995, 3, 4)
@@ -76,3 +79,16 @@ def test_marking_reads_the_columns_asked_for(spark, tmp_path):
     marked = mark_repeated(rows, "key", repeated, "again", max_broadcast_keys=3, min_hot_rows=1)
     plan = marked.groupBy("again").count()._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" in plan and "wide" not in plan
+
+
+def test_a_check_builds_only_what_it_reads(spark, tables, monkeypatch):
+    def built(*_):
+        raise AssertionError("the calendar was built")
+
+    monkeypatch.setattr(registry.marts, "dim_date", built)
+    relations = registry.Layers(spark, tables(*UNIQUE)).relations
+    chosen = [c for c in checks.declared_checks() if c.relation == QUARANTINE.name]
+    assert checks.results(relations, chosen).count() == len(chosen)
+    with pytest.raises(AssertionError):
+        relations[DIM_DATE.name]
+    assert len(relations) == len(list(relations)) == 9
