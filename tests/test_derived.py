@@ -92,3 +92,13 @@ def test_a_check_builds_only_what_it_reads(spark, tables, monkeypatch):
     with pytest.raises(AssertionError):
         relations[DIM_DATE.name]
     assert len(relations) == len(list(relations)) == 9
+
+
+@pytest.mark.parametrize("name", ["check_accepted_values", "check_reconcile"])
+def test_counting_rows_stores_none(spark, tables, monkeypatch, name):
+    def stored(*_):
+        raise AssertionError("whole staged rows were stored")
+
+    monkeypatch.setattr(registry, "materialise", stored)
+    (row,) = registry.library_queries()[name](spark, tables(*UNIQUE)).collect()
+    assert (row.failures, row.status) == (0, "pass")
