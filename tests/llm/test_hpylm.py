@@ -107,3 +107,29 @@ def test_awkward_rows(awkward, documents):
     assert result(found) == expected(rows)
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in found)
     assert hpylm.scores(documents()).count() == 0
+
+
+def test_batches_of_messages_are_bounded():
+    """However many messages fit a batch by number, it holds a few MB."""
+    megabyte = bytes(1 << 20)
+    sent = list(hpylm._sent(((1, "state", i, megabyte) for i in range(20)), 64))
+    assert sum(b.num_rows for b in sent) == 20
+    assert max(b.nbytes for b in sent) < 6 << 20
+
+
+def test_steps_read_small_batches_and_store_no_chunks(spark, documents, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    store, before = hpylm.materialise, spark.conf.get(key)
+
+    def stored(df, label):
+        seen.append((label, spark.conf.get(key)))
+        return store(df, label)
+
+    monkeypatch.setattr(hpylm, "materialise", stored)
+    rows = corpus(40)
+    assert result(hpylm.scores(documents(*rows)).collect()) == expected(rows)
+    assert "chunks" not in {label for label, _ in seen}
+    assert {size for label, size in seen if label in ("counts", "seats", "scores")} == {
+        str(hpylm.BATCH_BYTES)
+    }
+    assert spark.conf.get(key) == before
