@@ -133,3 +133,28 @@ def test_steps_read_small_batches_and_store_no_chunks(spark, documents, monkeypa
         str(hpylm.BATCH_BYTES)
     }
     assert spark.conf.get(key) == before
+
+
+def test_distinct_keys_as_numpy_gives_them():
+    keys = np.random.default_rng(1).integers(0, 2**64, 500, np.uint64)[[*range(500), *range(300)]]
+    for some in (keys, keys[:1], keys[:0]):
+        for mine, numpys in zip(hpylm._distinct(some), np.unique(some, return_inverse=True)):
+            assert (mine == numpys).all() and len(mine) == len(numpys)
+
+
+def test_values_that_nobody_reads_are_not_sent():
+    held = {
+        "places": {0: hpylm._pack([5], [np.array([0, 1])], np.array([2, 3]))},
+        "tables": {5: hpylm._pack(np.array([1, 2]), np.array([3, 4]), np.array([0.5, 1.5]))},
+    }
+
+    def sent(*reads):
+        messages = list(hpylm._parent(3, 2, 0.5, 2, *reads)(-1, held))
+        return hpylm._values({-1: next(m[3] for m in messages if m[1] == "values")})
+
+    opened, expected, seated = sent(True, True)
+    assert opened.tolist() == [3, 4] and expected.tolist() == [0.5, 1.5]
+    first, none, same = sent(True, False)
+    assert none is None and first.tolist() == [3, 4] and same.tolist() == seated.tolist()
+    none, again, same = sent(False, True)
+    assert none is None and again.tolist() == [0.5, 1.5] and same.tolist() == seated.tolist()
