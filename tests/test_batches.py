@@ -126,6 +126,27 @@ def test_untouched_months_keep_their_files(spark, tmp_path):
     assert rejected == {"4": ["duplicate_transaction_id"]} and second.read(schemas.QUARANTINE).count() == 2
 
 
+def test_a_batch_neither_groups_whole_rows_nor_shuffles_the_ids_of_months(spark, tmp_path, monkeypatch):
+    """Ids that come again, in a batch and over batches: every key changes once all the same."""
+    root, source = str(tmp_path / "w"), tmp_path / "in"
+
+    def refused(*_):
+        raise AssertionError("not needed by a batch")
+
+    monkeypatch.setattr("siftledger.sinks.warehouse.latest_changes", refused)
+    monkeypatch.setattr(aggregates, "monthly_sales", refused)
+    line = "{},{},2024-0{}-11,{},Widget,1.0,2.00,0.10".format
+    first = [line(1, "5.0", 1, 7), line(2, "", 1, 8), line(3, "6.0", 2, 7), line(3, "6.0", 2, 7), "x,5.0,n/a,7,,,,"]
+    write(source, "1.csv", first)
+    batches.land_batch(spark, str(source), root, "one", NOW, SMALL)
+    write(source, "2.csv", [line(2, "9.0", 3, 9), line(4, "5.0", 1, 7), line(3, "6.0", 2, 7), line("T5", "5.0", 3, 9)])
+    second = batches.land_batch(spark, str(source), root, "two", NOW, SMALL)
+    monkeypatch.undo()
+    assert sorted(r["transaction_id"] for r in second.read(schemas.FACT).collect()) == [1, 4, 5]
+    for relation, expected in built_at_once(second.read(schemas.RAW)).items():
+        assert rows_of(second.read(relation), relation) == rows_of(expected, relation), relation.name
+
+
 def test_a_broken_contract_publishes_nothing(spark, tmp_path):
     root, source = str(tmp_path / "w"), tmp_path / "in"
     write(source, "1.csv", ["1,5.0,2024-01-11,7,Widget,1.0,2.00,0.10"])
