@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftledger import __main__ as command
-from siftledger.plans import checks
+from siftledger.plans import aggregates, checks
 from siftledger.plans.checks import Severity
 from siftledger.plans.run import ChecksFailed, ContractViolation, Options, attach, run
 from siftledger.schemas import FACT, NAMESPACES, QUARANTINE, RAW, RAW_COLUMNS
@@ -233,3 +233,15 @@ def test_history_waits_for_publishing(spark, tmp_path, monkeypatch):
 def test_declared_tests_cover_the_contracts(warehouse):
     _, result = warehouse
     assert {c.relation for c in checks.declared_checks()} <= set(result.relations)
+
+
+def test_monthly_sales_take_the_stored_ids(spark, edge_path, tmp_path, monkeypatch):
+    def refused(fact):
+        raise AssertionError("not needed by a run")
+
+    monkeypatch.setattr(aggregates, "monthly_sales", refused)
+    relations = run(spark, edge_path, str(tmp_path), "months", RUN_TS).relations
+    monkeypatch.undo()
+    expected = aggregates.monthly_sales(relations[FACT.name])
+    stored = relations["agg_monthly_sales"].select(*expected.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, expected.collect())) != []
