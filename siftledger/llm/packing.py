@@ -12,6 +12,7 @@ number of bins are cut.
 
 from __future__ import annotations
 
+import re
 from array import array
 from bisect import bisect_right
 from collections import Counter
@@ -20,13 +21,15 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from siftledger.llm.common import (
+    arrow_batches_of,
     hash63,
     shuffle_partitions,
-    strings,
     table,
     with_ordinal,
     worker_memory,
@@ -36,7 +39,6 @@ from siftledger.llm.token_counts import (
     has_double,
     led,
     pre_tokens,
-    spaced,
     tokenizer_at,
 )
 from siftledger.session import materialise
@@ -44,15 +46,33 @@ from siftledger.session import materialise
 CAPACITY = 2048
 # The id that ends a document.
 END_ID = 0
-# Pre-tokens a worker remembers at once; a forgotten one is tokenised again.
-REMEMBERED = 700_000
+# Pre-tokens are forgotten by generation: one fills up to this many bytes, about 150,000
+# of them, and the one before it is kept beside it. What both lack is tokenised again.
+REMEMBERED = 40_000_000
+# What a remembered pre-token takes besides its characters and ids.
+ENTRY = 220
+# Texts that a worker gets at once, and ids that it hands back at once.
+BATCH_BYTES = 8_000_000
 # Steps of the search, and fillings it tries per bin (the first found in 400 steps). They
 # bound how good the packing gets: sequences may be more than need be, no piece is left out.
 STEPS = 3_000
 FILLINGS = 8
 
 
-_ENDS = (".", ",")
+# A space or line break, Latin letters and ASCII punctuation, each perhaps none but the
+# letters. The byte-level pattern cuts such a pre-token before its letters, unless a space
+# stands there, and after them; these letters are the same in every version of Unicode.
+_WORD = re.compile(r"(\n?)((?:(?<!\n) )?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that the byte-level vocabulary writes for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [x for x in range(256) if x not in shown]
+    return {x: chr(x) for x in shown} | {x: chr(256 + n) for n, x in enumerate(others)}
+
+
+_WRITTEN = _byte_characters()
 
 
 class Encoder:
@@ -60,18 +80,27 @@ class Encoder:
 
     def __init__(self, name: str = VOCABULARY):
         self.tokenizer = tokenizer_at(name)
-        self.known: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}  # by part, which a space or line break precedes
-        self.ends = {
-            x: array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
-            for x in _ENDS
-        }
+        self.model = self.tokenizer.model
+        # Pre-tokens by themselves, and by the part that a space or line break precedes:
+        # those of this generation, and those of the one before.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.later: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.held = 0
+        self.ends: dict[str, bytes] = {"": b""}
         # A token of the byte-level vocabulary is written with one character per byte.
         written = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(written.values(), default=0) + 1, np.int64)
         for token, number in written.items():
             self.n_bytes[number] = len(token)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        before = self.tokenizer.pre_tokenizer
+        self.by_parts = (
+            isinstance(before, ByteLevel)
+            and not before.add_prefix_space
+            and before.use_regex
+            and self.tokenizer.normalizer is None
+            and not any(_WORD.search(x) and _WORD.fullmatch(x) for x in self.special)
+        )
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each pre-token by itself.
@@ -98,33 +127,84 @@ class Encoder:
         found |= {t: array("I", e.ids).tobytes() for t, e in zip(single, alone)}
         return [found[t] for t in texts]
 
-    def _learn(self, known: dict[str, bytes], new: set[str], whole) -> None:
-        """Encode pre-tokens; after a plain letter, a last point or comma stands by itself."""
-        ends = [k for k in new if k[-1:] in _ENDS and k[-2:-1].isascii() and k[-2:-1].isalpha()]
-        stems = {k[:-1] for k in ends}
-        direct = [*new.difference(ends), *(k for k in stems - new if k not in known)]
-        known.update(zip(direct, self.encoded([whole(k) for k in direct])))
-        for key in ends:
-            known[key] = known[key[:-1]] + self.ends[key[-1]]
-
-    def _ids(self, known: dict[str, bytes], keys: list[str], whole=str) -> bytes:
+    def _word(self, text: str) -> bytes:
+        """The ids of what the byte-level pattern leaves whole, as the model has them."""
+        if text.isascii():
+            text = text.replace(" ", _WRITTEN[32])
+        else:
+            text = text.encode().decode("latin-1").translate(_WRITTEN)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def _end(self, text: str) -> bytes:
+        """The ids of a line break or of punctuation by itself; few of them differ."""
+        found = self.ends.get(text)
+        if found is None:
+            if len(self.ends) > 1_000:
+                self.ends = {"": b""}
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = self.ends[text] = array("I", ids).tobytes()
+        return found
+
+    def _learned(self, new: list[str], known: dict, before: dict, whole) -> dict[str, bytes]:
+        """The ids of new pre-tokens: of words by their parts, of others by the tokenizer."""
+        found, others, match = {}, [], _WORD.fullmatch
+        for key in new:
+            word = match(whole(key)) if self.by_parts else None
+            if word is None:
+                others.append(key)
+                continue
+            line, text, end = word.groups()
+            if end:
+                stem = key[: -len(end)]
+                ids = known.get(stem) or before.get(stem) or found.get(stem)
+                if ids is None:
+                    ids = found[stem] = self._end(line) + self._word(text)
+                found[key] = ids + self._end(end)
+            elif key not in found:
+                ids = self._word(text)
+                found[key] = self._end(line) + ids if line else ids
+        found.update(zip(others, self.encoded([whole(k) for k in others])))
+        return found
+
+    def _ids(self, which: str, keys: list[str], whole=str) -> list[bytes]:
+        known, before = getattr(self, which)
         ids = list(map(known.get, keys))
         if None in ids:
-            if len(known) > REMEMBERED:
-                known.clear()
-            missing = [i for i, x in enumerate(ids) if x is None]
-            self._learn(known, {keys[i] for i in missing}, whole)
-            for i in missing:
-                ids[i] = known[keys[i]]
-        return b"".join(ids)
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if has_double(text):
-            return self._ids(self.known, pre_tokens(text))
-        first, *rest = spaced(text)
-        return self._ids(self.known, [first] if first else []) + self._ids(self.later, rest, led)
+            missing = [k for k, x in zip(keys, ids) if x is None]
+            found = {k: before[k] for k in missing if k in before}
+            new = [k for k in missing if k not in found] if found else missing
+            found |= self._learned(new, known, before, whole)
+            known.update(found)
+            ids = list(map(known.get, keys))
+            self.held += ENTRY * len(found) + 2 * sum(map(len, found))
+            if self.held > REMEMBERED:
+                self.known, self.later = ({}, self.known[0]), ({}, self.later[0])
+                self.held = 0
+        return ids
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, none for NULL. Parts that texts share are looked up once."""
+        texts = pc.fill_null(texts, "")
+        whole = [None if has_double(x) else x for x in texts.to_pylist()]
+        # As in ``spaced``; of a text without double white space only the first part has
+        # neither a space nor a line break before it.
+        plain = pc.if_else(pa.array([x is not None for x in whole], pa.bool_()), texts, "")
+        parts = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        coded = parts.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self._ids("later", distinct, led), pa.binary())
+        ids = ids.take(coded.indices)
+        data = memoryview(ids.buffers()[2] or b"")
+        at = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
+        bounds = np.append(0, np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False)))
+        starts, ends = at[bounds[:-1] + 1].tolist(), at[bounds[1:]].tolist()
+        for row, (text, start, end) in enumerate(zip(whole, starts, ends)):
+            if text is None:
+                yield b"".join(self._ids("known", pre_tokens(texts[row].as_py())))
+            else:
+                first = text[: re.search(r"[ \n]|$", text).start()]
+                head = self._ids("known", [first]) if first else []
+                yield b"".join([*head, data[start:end]])
 
 
 def worker_encoder(name: str) -> Encoder:
@@ -151,12 +231,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY) ->
         for part in parts:
             rows: list[tuple] = []
             held = 0
-            for doc, text in zip(part.column(0).to_pylist(), strings(part.column(1))):
-                ids = encode(text) + end
+            for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1))):
+                ids += end
                 for k, (start, length) in enumerate(cuts(len(ids) // 4, capacity)):
                     rows.append((doc, k, start, length, ids[4 * start : 4 * (start + length)]))
                 held += len(ids)
-                if held > 8_000_000:
+                if held > BATCH_BYTES:
                     yield _batch(rows)
                     rows, held = [], 0
             yield _batch(rows)
@@ -359,7 +439,9 @@ def packed_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     cut = pieces(docs, capacity).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32")
     )
-    return packed(materialise(cut, "pieces"), capacity)
+    with arrow_batches_of(docs.sparkSession, BATCH_BYTES):
+        stored = materialise(cut, "pieces")
+    return packed(stored, capacity)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siftledger.llm import packing, token_counts
@@ -101,3 +102,53 @@ def test_pre_tokens_encoded_together_are_encoded_alone():
     for row in rows:
         alone = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in row]
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encoded(row)] == alone
+
+
+def whole(encoder, texts):
+    """What the tokenizer gives for each text in one go."""
+    return [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("remembered", [packing.REMEMBERED, 3_000])
+def test_ids_of_batches_are_those_of_whole_texts(monkeypatch, remembered):
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    encoder, draw = packing.Encoder(), random.Random(3)
+    marks = [".", ",***", "'", "'s", "'ll", "-", "<|", "<|endoftext|>", "²", "́", "12"]
+    blanks = [" ", " ", " ", "\n", "\n", "  ", "\t", "\r\n", " ", "\x1c", " "]
+    words = ["a", "Word", "plain", "é", "naïve", "Łódź", "ǀɏ", "ß", "日本", "😀", "x" * 300]
+    texts = [None, "", " ", "\n", "a", " a", "\na", None] + [
+        "".join(draw.choice(draw.choice([words, words, marks, blanks])) for _ in range(n % 14))
+        for n in range(3_000)
+    ]
+    for batch in (texts, texts[::-1], texts[3:40], [None], [""], []):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder(pa.array(batch, pa.string()))]
+        assert got == whole(encoder, batch)
+
+
+def test_words_with_other_punctuation_are_not_tokenised_again():
+    encoder, asked = packing.Encoder(), []
+    encoder.encoded = lambda texts: asked.extend(texts) or [b""] * len(texts)
+    model, calls = encoder.model, []
+
+    class Counting:
+        def tokenize(self, text):
+            calls.append(text)
+            return model.tokenize(text)
+
+    encoder.model = Counting()
+    texts = ["so plain*** plain!! (plain) plain", "so naïve, plain&&& naïve.%%%", "so plain###"]
+    for text in texts:
+        list(encoder(pa.array([text])))
+    assert asked == [" (plain)"]
+    assert sorted(calls) == sorted(set(calls))
+
+
+def test_remembered_bytes_are_bounded(monkeypatch):
+    """However long the pre-tokens are; frequent ones are kept when others go."""
+    monkeypatch.setattr(packing, "REMEMBERED", 100_000)
+    encoder = packing.Encoder()
+    for n in range(100):
+        list(encoder(pa.array([f"{n}{'x' * 5_000} 7{n}{'y' * 5_000} again word{n}"])))
+    kept = [x for both in (encoder.known, encoder.later) for x in both]
+    assert sum(len(k) + len(v) for x in kept for k, v in x.items()) < 2 * 100_000 + 30_000
+    assert any("again" in x for x in encoder.later)
