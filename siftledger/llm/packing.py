@@ -46,13 +46,13 @@ from siftledger.session import materialise
 CAPACITY = 2048
 # The id that ends a document.
 END_ID = 0
-# Pre-tokens are forgotten by generation: one fills up to this many bytes, about 150,000
+# Pre-tokens are forgotten by generation: one fills up to this many bytes, about 100,000
 # of them, and the one before it is kept beside it. What both lack is tokenised again.
-REMEMBERED = 40_000_000
+REMEMBERED = 25_000_000
 # What a remembered pre-token takes besides its characters and ids.
 ENTRY = 220
 # Texts that a worker gets at once, and ids that it hands back at once.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 # Steps of the search, and fillings it tries per bin (the first found in 400 steps). They
 # bound how good the packing gets: sequences may be more than need be, no piece is left out.
 STEPS = 3_000
