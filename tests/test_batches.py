@@ -227,3 +227,45 @@ def test_command_line(spark, tmp_path, capsys):
     command.main(["verify", root])
     with pytest.raises(FileNotFoundError):
         command.main(["verify", root, "--snapshot", "1"])
+
+
+def test_a_batch_leaves_neither_judged_rows_nor_shuffles(spark, tmp_path, monkeypatch):
+    """Also when nothing is published; what is stored is compressed closely."""
+    from test_session import shuffle_files
+
+    kept = tmp_path / "kept"
+    monkeypatch.setattr("siftledger.session.scratch_dir", lambda _: str(kept))
+    root, source = str(tmp_path / "w"), tmp_path / "in"
+    names = ("repeated-ids", "batch-staged", "newly-repeated", "judged-again")
+
+    def left():
+        return [p.name for p in kept.glob("*/*") if p.name.startswith(names)]
+
+    before = shuffle_files(spark)
+    write(source, "1.csv", lines(random.Random(3), 40))
+    batches.land_batch(spark, str(source), root, "one", NOW, SMALL)
+    write(source, "2.csv", lines(random.Random(4), 40))
+    snapshot = batches.land_batch(spark, str(source), root, "two", NOW, SMALL)
+    assert left() == [] and shuffle_files(spark) <= before
+    assert snapshot.read(schemas.RAW).count() == 80
+    for relation in (schemas.RAW, schemas.FACT, schemas.QUARANTINE, ID_INDEX):
+        files = snapshot.files(relation).inputFiles()
+        assert files and all(".zstd." in f for f in files), relation.name
+    write(source, "3.csv", ["901,5.0,2024-01-11,,Widget,1.0,2.00,0.10"])
+    with pytest.raises(ContractViolation):
+        batches.land_batch(spark, str(source), root, "three", NOW, SMALL)
+    assert left() == []
+
+
+def test_compressed_files_land_as_they_are(spark, feed, tmp_path):
+    from stored_queries import write_csv
+
+    named = ('say "so", ', "", "  x ")
+    rows = feed(*[{"product_id": str(i), "product_name": n} for i, n in enumerate(named)], {"price": ""}, {"tax": None})
+    rows = rows.where("product_name <> ''").union(feed({"transaction_id": "9", "product_name": "", "price": None}))
+    write_csv(rows, str(tmp_path / "in" / "1"), "gzip")
+    assert list((tmp_path / "in" / "1").glob("*.csv.gz"))
+    snapshot = batches.land_batch(spark, str(tmp_path / "in"), str(tmp_path / "w"), "one", NOW, SMALL)
+    landed = snapshot.read(schemas.RAW).select(*RAW_COLUMNS)
+    assert sorted(map(str, landed.collect())) == sorted(map(str, rows.select(*RAW_COLUMNS).collect()))
+    assert [r["n_rows"] > 0 for r in snapshot.read(LANDED_FILES).collect()].count(True) >= 1

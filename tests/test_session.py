@@ -7,6 +7,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from siftledger.session import SETTINGS, materialise, scratch_dir, shuffles_sized_for
 
@@ -63,3 +64,29 @@ def test_released_steps_leave_no_files(spark, tmp_path):
     release(stored.where("id > 1"), source)
     assert not folder.exists()
     assert kept.count() == source.count() == 5
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles())
+    return {f.getName() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    """Those of a write, of a query and of one that is asked twice."""
+    from siftledger.session import shuffles_removed
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        spark.range(100).repartition(3, "id").write.parquet(str(tmp_path / "stored"))
+        counts = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        assert len(counts.collect()) == len(counts.collect()) == 7
+        assert shuffle_files(spark) <= before
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == setting
+
+
+def test_a_codec_may_be_named(spark):
+    stored = materialise(spark.range(5), "test", "zstd")
+    assert all(".zstd." in f for f in stored.inputFiles()) and stored.count() == 5
