@@ -245,3 +245,13 @@ def test_monthly_sales_take_the_stored_ids(spark, edge_path, tmp_path, monkeypat
     expected = aggregates.monthly_sales(relations[FACT.name])
     stored = relations["agg_monthly_sales"].select(*expected.columns)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, expected.collect())) != []
+
+
+def test_a_run_leaves_no_shuffles(spark, edge_path, tmp_path):
+    from test_session import shuffle_files
+
+    before = shuffle_files(spark)
+    run(spark, edge_path, str(tmp_path / "w"), "one", RUN_TS, Options(strict=False))
+    assert shuffle_files(spark) <= before
+    stored = list((tmp_path / "w").glob("*/*/run=one/**/part-*.parquet"))
+    assert stored and all(".zstd." in p.name for p in stored if "dq_run_audit" not in str(p))
