@@ -135,3 +135,17 @@ def test_random_rows_keep_the_invariants(feed):
     assert staged.where("is_valid <> (size(dq_reasons) = 0)").count() == 0
     assert fact.where("total_amount <> quantity * unit_price + tax_amount").count() == 0
     assert fact.groupBy("transaction_id").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_rows_that_are_stored_get_the_same_verdicts(feed, limit):
+    """Typed after they are marked, by place if the repeated ids are many."""
+    from siftledger.session import materialise
+
+    ids = ["1", "T1", "2", "X", None, "", "77", "T88", "9" * 25, *map(str, range(20, 40)), *map(str, range(25, 45))]
+    raw = materialise(feed(*[{"transaction_id": i, "price": str(n % 3)} for n, i in enumerate(ids)]), "test-raw")
+    expected = staging.staged(raw)
+    found = staging.staged(raw, max_broadcast_keys=limit, min_hot_rows=3, stored=True)
+    assert found.schema == expected.schema
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert expected.where("is_duplicate_id").count() == 32
