@@ -36,6 +36,16 @@ def test_rows_without_keys(spark, stored, max_blocks):
     assert ("_words" in plan_of(found)) == (max_blocks > 7)  # joined with the keys only if they must be
 
 
+@pytest.mark.parametrize("max_blocks", [places.MAX_BLOCKS, 0])
+def test_rows_with_keys(spark, stored, max_blocks):
+    keys = spark.range(51_000).where(WANTED).select(F.col("id").alias("key"))
+    found = places.among(stored, keys, "key", max_blocks)
+    expected = stored.join(keys, "key", "left_semi").select("id", "key")
+    assert found.columns == ["id", "key"] and found.count() == expected.count() > 300
+    assert found.exceptAll(expected).isEmpty()
+    assert ("_words" in plan_of(found)) == (max_blocks > 0)
+
+
 def test_no_rows_and_no_keys(spark, stored):
     none = spark.range(1).where("false").select(F.col("id").alias("key"))
     assert places.without(none, stored.select("key"), "key").count() == 0
